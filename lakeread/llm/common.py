@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +68,35 @@ def rank_globally(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
         dealt.withColumn("_part", part).join(before, "_part")
         .withColumn(name, F.col("_before") + within).drop("_at", "_part", "_before")
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[int, str, int]]:
+    """(id, whole text, label) of at most per_class training rows for label 0 and as many for 1, ordered by id.
+
+    Training rows are those with a label whose crc32(doc_id as text) mod 5 is not 0; the ones with the smallest
+    xxhash64(doc_id) are taken, so that the sample is seeded and needs no sort of the corpus. Ids that are repeated in
+    labels count once, with the greatest label; null ids and labels are left out.
+    """
+    clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    clean = clean.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max("y").alias("y"))
+    chosen = [clean.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
+    some = F.broadcast(chosen[0].union(chosen[1]))  # 2 * per_class rows at most
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id")
+    return sorted((r["doc_id"], r["text"] or "", r["y"]) for r in texts.collect())
+
+
+def held_out(id_col: str) -> Column:
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+
+
+class Adagrad:
+    """Steps of gradient descent that get shorter as a weight's gradients add up; `rows` of an embedding table alone."""
+
+    def __init__(self, rate: float) -> None:
+        self.rate, self.seen = rate, {}
+
+    def step(self, key: object, value: np.ndarray, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
+        total = self.seen.setdefault(key, np.full(value.shape, 1e-6, np.float32))
+        at = slice(None) if rows is None else rows
+        total[at] += grad * grad
+        value[at] -= self.rate * grad / np.sqrt(total[at])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,20 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
