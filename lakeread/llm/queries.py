@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash, toxicity
+from . import decontaminate, mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -33,7 +41,60 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_CONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS width,
+    unnest([array_to_string(w[i : i + least(len(w), 10) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS win
+  FROM b WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS pos,
+    unnest([array_to_string(w[i : i + width - 1], ' ') FOR i IN range(1, len(w) - width + 2)]) AS win
+  FROM d CROSS JOIN (SELECT DISTINCT width FROM bw) WHERE len(w) >= width
+), h AS (SELECT doc_id, pos, bw.width, item_id FROM dw JOIN bw ON dw.width = bw.width AND dw.win = bw.win),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + width)) AS p FROM h) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM h GROUP BY 1
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    md5('42:' || doc_id) AS o FROM documents
+), s AS (
+  SELECT source, sum(size) AS source_size, 3.0::DOUBLE * sum(size) AS cap,
+    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight FROM d GROUP BY 1
+), p AS (
+  SELECT *, coalesce(sum(cap) OVER w, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS free,
+    sum(source_size) OVER () AS total
+  FROM s WINDOW w AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, round(least(cap, weight * max((total - capped) / free) OVER ()), 6) AS target FROM p
+), r AS (
+  SELECT doc_id, size, source_size, target, floor(target / source_size) AS whole,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      + size / 2 AS middle
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), c AS (SELECT *, least(whole + (middle <= target - whole * source_size)::INT, 3)::BIGINT AS repetitions FROM r)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (repetitions * size)::BIGINT AS taken, repetitions FROM c
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": _CONTAMINATION,
+    "op9_mixing": _MIXING,
+}
