@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, simhash, toxicity
+from . import decontaminate, licenses, mixing, quality, revisits, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,33 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is a full response, and is visited again, with another spelling of its URL, up to 1,500 ticks later or
+    500 earlier (by a digest of its URL); validators come from the page's content."""
+    pages = _table(spark, sf_dir, "pages")
+    digest, drift = F.md5("html"), F.conv(F.substring(F.md5("url"), 1, 6), 16, 10).cast("long") % 2001 - 500
+    common = [F.when(F.substring(digest, 1, 1) < "c", digest).alias("etag"), F.lit(None).cast("string").alias("last_modified")]
+    field = lambda k, v: (F.lit(k), v)
+    response = pages.select(
+        (F.col("page_id") * 2).alias("id"), "url", F.col("page_id").alias("ts"), F.lit("response").alias("kind"), *common,
+        digest.alias("digest"), F.length("html").cast("long").alias("payload_length"),
+        F.create_map(*field("Content-Type", F.lit("text/html")), *field("Date", F.col("page_id").cast("string")), *field("ETag", digest)).alias("headers"),
+    )
+    revisit = pages.select(
+        (F.col("page_id") * 2 + 1).alias("id"), F.concat("url", F.lit("#again")).alias("url"), (F.col("page_id") + drift).alias("ts"),
+        F.lit("revisit").alias("kind"), *common, F.when(F.substring(digest, 2, 1) < "c", digest).alias("digest"),
+        F.lit(None).cast("long").alias("payload_length"),
+        F.create_map(*field("date", (F.col("page_id") + drift).cast("string")), *field("Content-Type", F.lit("none")), *field("Server", F.lit("s"))).alias("headers"),
+    )
+    found = revisits.resolve(response.union(revisit))
+    entries = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.withColumn("headers", F.array_join(entries, ";"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.detect(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +69,8 @@ QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_warc_revisits": op4_warc_revisits,
+    "op5_license_scan": op5_license_scan,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
@@ -94,7 +123,64 @@ WITH d AS (
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (repetitions * size)::BIGINT AS taken, repetitions FROM c
 """
 
+_REVISITS = rf"""
+WITH p AS (
+  SELECT page_id, url, html, md5(html) AS digest, (('0x' || substr(md5(url), 1, 6))::BIGINT % 2001) - 500 AS drift,
+    split_part(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#', 1) AS rest
+  FROM pages
+), q AS (
+  SELECT *, split_part(rest, '?', 1) AS address, split_part(split_part(rest, '?', 1), '/', 1) AS host,
+    list_sort(list_filter(string_split(substr(rest, length(split_part(rest, '?', 1)) + 2), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '{revisits.TRACKING}'))) AS params
+  FROM p
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(host), ':(80|443)$', ''), '^www\.', '')
+      || regexp_replace(substr(address, length(host) + 1), '/+$', '')
+      || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical_url,
+    CASE WHEN substr(digest, 1, 1) < 'c' THEN digest END AS etag
+  FROM q
+), r AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY canonical_url, page_id ORDER BY page_id DESC) = 1),
+j AS (
+  SELECT v.page_id * 2 + 1 AS id, v.canonical_url, r.page_id AS old, length(r.html) AS payload_length, r.digest AS old_digest,
+    v.page_id + v.drift AS at_time,
+    coalesce(r.etag = v.etag, r.digest = CASE WHEN substr(v.digest, 2, 1) < 'c' THEN v.digest END) AS agree
+  FROM c v ASOF LEFT JOIN r ON v.canonical_url = r.canonical_url AND v.page_id + v.drift > r.page_id
+)
+SELECT id, canonical_url, old * 2 AS refers_to, payload_length,
+  CASE WHEN old IS NULL THEN 'missing' WHEN agree IS NULL THEN 'unverifiable' WHEN agree THEN 'resolved' ELSE 'mismatch' END AS status,
+  CASE WHEN agree THEN 'content-type=text/html;date=' || at_time || ';etag=' || old_digest || ';server=s' END AS headers
+FROM j
+"""
+
+
+def _values(rows: list[tuple]) -> str:
+    quoted = lambda x: "[" + ", ".join(map(quoted, x)) + "]" if isinstance(x, list) else "'" + x + "'"
+    return ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)
+
+
+_LICENSES = rf"""
+WITH known(id, sentence) AS (VALUES {_values(list(licenses.SENTENCES.items()))}),
+rules(rule, license, ids) AS (VALUES {_values([(k, *v) for k, v in licenses.RULES.items()])}),
+s AS (
+  SELECT DISTINCT doc_id, text, unnest(range(len(l))) AS place, unnest(l) AS piece
+  FROM (SELECT doc_id, text, string_split(regexp_replace(text, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS l FROM documents)
+), k AS (
+  SELECT doc_id, text, place, id, row_number() OVER (PARTITION BY doc_id, text ORDER BY place) AS turn
+  FROM s JOIN known ON sentence = trim(regexp_replace(
+    translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'))
+), m AS (
+  SELECT a.doc_id, a.text, a.turn, rule, license, len(ids) AS n, min(b.place) AS first_sentence, max(b.place) AS last_sentence,
+    list(b.id ORDER BY b.turn) AS found, any_value(ids) AS ids
+  FROM k a JOIN rules ON a.id = ids[1] JOIN k b ON a.doc_id = b.doc_id AND a.text = b.text AND b.turn BETWEEN a.turn AND a.turn + len(ids) - 1
+  GROUP BY ALL
+)
+SELECT doc_id, rule, license, first_sentence, last_sentence FROM m WHERE found = ids
+QUALIFY n = max(n) OVER (PARTITION BY doc_id, text, turn)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_revisits": _REVISITS,
+    "op5_license_scan": _LICENSES,
     "op3_benchmark_decontamination": _CONTAMINATION,
     "op9_mixing": _MIXING,
 }
