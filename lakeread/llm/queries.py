@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, quality, revisits, simhash, toxicity
+from . import decontaminate, embeddings, licenses, mixing, quality, revisits, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.detect(_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +79,8 @@ QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_license_scan": op5_license_scan,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }

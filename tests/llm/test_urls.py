@@ -1,0 +1,55 @@
+import random
+import re
+
+from lakeread.llm import urls
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule(host, path):
+    fit = [
+        r for r in urls.RULES
+        if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])
+    ]
+    return max(fit, key=len, default=None)
+
+
+def test_hosts_paths_rules_and_verdicts(spark):
+    rnd = random.Random(2)
+    made = [
+        f"http{rnd.choice(['', 's'])}://{rnd.choice(['', 'a.', 'WWW.b-c.'])}{rnd.choice(['example.net', 'example.com', 'Example.ORG', 'net', 'xnet', 'ÉX.org'])}"
+        f"{rnd.choice(['', '/', '/en/', '/de/', '/fr/', '/fr', '/en'])}{rnd.choice(['', '12', 'x/y', '?a=1&b=2', '#/en/', '?u=://z.net/'])}"
+        for _ in range(600)
+    ]
+    made += [None, "", "no scheme", "://", "http://", "a://b://c.net/d", "x" * 5000, made[0], "http://a.net?/en/"]
+    df = spark.createDataFrame([(i, u, "clash", 1) for i, u in enumerate(made)], "page_id long, url string, host string, label int")
+    rows = sorted(urls.judge(df).collect(), key=lambda r: r["page_id"])
+    assert len(rows) == len(made)
+    for r, u in zip(rows, made):
+        host, path = parts(u)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule(host, path)), u
+        assert r["verdict"] == (urls.RULES[r["rule"]] if r["rule"] else "block" if r["score"] >= 0.5 else "allow")
+    assert rows[0]["score"] == rows[607]["score"]
+
+
+def test_trees_learn_the_labelled_urls(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    ruled = [r for r in urls.judge(df).collect() if r["rule"]]
+    right = sum((r["score"] >= 0.5) == (r["verdict"] == "block") for r in ruled)
+    assert len(ruled) > 100 and right >= 0.8 * len(ruled)
+
+
+def test_no_rows_and_one_verdict(spark):
+    schema = "page_id long, url string"
+    assert urls.judge(spark.createDataFrame([], schema)).collect() == []
+    rows = urls.judge(spark.createDataFrame([(1, "http://a.net/"), (2, "http://b.com/")], schema)).collect()
+    assert {r["page_id"]: r["verdict"] for r in rows} == {1: "block", 2: "block"}
+    rows = urls.judge(spark.createDataFrame([(1, "http://a.com/"), (None, None)], schema)).collect()
+    assert {r["verdict"] for r in rows} == {"allow"}
