@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, licenses, mixing, quality, revisits, simhash, toxicity, urls
+from . import decontaminate, embeddings, language_model, licenses, mixing, quality, revisits, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,11 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.scores(_table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc_revisits": op4_warc_revisits,
     "op5_license_scan": op5_license_scan,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_language_model_scores": op7_language_model_scores,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
@@ -111,6 +117,22 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_SCORES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), t AS (SELECT k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, unnest(list_prepend(NULL, w[:-2])) AS prior FROM d WHERE len(w) > 0),
+one AS (SELECT word, count(*) AS n FROM t GROUP BY 1),
+two AS (SELECT prior, word, count(*) AS n FROM t WHERE i > 1 GROUP BY 1, 2),
+s AS (
+  SELECT k, sum(CASE WHEN i = 1 THEN ln(a.n / total) WHEN two.n >= 2 THEN ln(two.n / b.n) ELSE ln(0.4) + ln(a.n / total) END) AS score
+  FROM t JOIN one a USING (word) LEFT JOIN one b ON t.prior = b.word LEFT JOIN two ON t.prior = two.prior AND t.word = two.word,
+    (SELECT count(*)::DOUBLE AS total FROM t)
+  GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_tokens, round(coalesce(score, 0), 4) AS log_score, round(score / len(w), 4) AS mean_log_score
+FROM d LEFT JOIN s USING (k)
+"""
+
 _MIXING = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -192,5 +214,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc_revisits": _REVISITS,
     "op5_license_scan": _LICENSES,
     "op3_benchmark_decontamination": _CONTAMINATION,
+    "op7_language_model_scores": _SCORES,
     "op9_mixing": _MIXING,
 }

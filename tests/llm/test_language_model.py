@@ -1,0 +1,38 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from lakeread.llm import language_model as lm
+
+
+def brute(docs, order, backoff=0.4, least=2):
+    texts = [(i, [w.decode() for w in (t or "").encode().lower().split()]) for i, t in docs]
+    counts = Counter(tuple(w[k : k + n]) for _, w in texts for n in range(1, order + 1) for k in range(len(w) - n + 1))
+    total = sum(len(w) for _, w in texts)
+
+    def score(w, i, n):
+        if n == 1:
+            return math.log(counts[w[i],] / total)
+        gram = tuple(w[i - n + 1 : i + 1])
+        if counts[gram] >= least:
+            return math.log(counts[gram] / counts[gram[:-1]])
+        return math.log(backoff) + score(w, i, n - 1)
+
+    return sorted((i or -1, len(w), round(sum(score(w, k, min(order, k + 1)) for k in range(len(w))), 6)) for i, w in texts)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_match_brute_force(spark, monkeypatch, order):
+    monkeypatch.setattr(lm, "PARTITION", 100)  # so that there are several hash partitions
+    rnd = random.Random(order)
+    docs = [(i, " ".join(rnd.choice(["the", "The", "É", "of", "a\tb", f"w{rnd.randrange(80)}"]) for _ in range(rnd.choice([1, 2, 3, 50])))) for i in range(90)]
+    docs += [(200, None), (201, ""), (202, " \n"), (203, "the of " * 5000), (3, docs[3][1]), (None, "the of")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = lm.scores(df.withColumn("chunk", df["doc_id"]), order).collect()
+    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["log_score"], 6)) for r in got) == brute(docs, order)
+    assert all((r["mean_log_score"] is None) == (r["n_tokens"] == 0) for r in got)
+
+
+def test_no_documents(spark):
+    assert lm.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
