@@ -13,7 +13,6 @@ BROADCAST_ROWS = 500_000  # more windows than these, or longer ones than these b
 BROADCAST_BYTES = 64 << 20
 #: Runs of anything but 0-9, A-Z, a-z and non-ASCII signs.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -34,9 +33,10 @@ def _window_minima(width: int) -> tuple[Column, Column]:
 
 
 def _minima(texts: DataFrame, width: int) -> DataFrame:
-    """Adds `minima` to rows that have `words`, for those with width words at least."""
+    """Adds `minima` to rows that have `words`, null where they are fewer than width: a filter would split texts twice."""
     grams, minima = _window_minima(width)
-    hashed = texts.where(F.size("words") >= width).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(F.lower(w))))
+    hashes = F.when(F.size("words") >= width, F.transform("words", lambda w: F.xxhash64(F.lower(w))))
+    hashed = texts.withColumn("hashes", hashes)
     return hashed.withColumn("grams", grams).drop("hashes").withColumn("minima", minima).drop("grams")
 
 
@@ -132,7 +132,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = hits.select(
         F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), _covered(F.col("windows")).alias("hit"), "items"
     )
-    counted = keyed.select("doc_id", "_text", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    counted = keyed.select("doc_id", "_text", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     rows = counted.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
     ids = F.coalesce(F.concat_ws(",", "items"), F.lit(""))
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
