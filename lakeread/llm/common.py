@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+IDS = 500_000  # at most so many ids are broadcast
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -89,6 +92,32 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
+def score_rows(docs: DataFrame, text: Column, scorer: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
+    """(row, score): every row of docs as a struct, with the score of its text.
+
+    scorer() is called once in each task and gives a function from texts to scores. Rows keep all their columns, whatever
+    their names, so nothing has to be joined back.
+    """
+    schema = f"row {docs.schema.simpleString()}, score double"
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer()
+        for batch in batches:
+            for s in range(0, batch.num_rows, 1000):
+                part = batch.slice(s, 1000)
+                values = pa.array(score(x.as_py() for x in part.column(1)), pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column(0), values], ["row", "score"])
+
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text.alias("text")).mapInArrow(scored, schema)
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id is not among ids (of one column), broadcast only up to IDS of them."""
+    ids = materialize(ids.toDF("_gone").where("_gone is not null").distinct(), "gone")
+    few = ids.count() <= IDS
+    return docs.join(F.broadcast(ids) if few else ids, docs[id_col] == ids["_gone"], "left_anti")
+
+
 class Adagrad:
     """Steps of gradient descent that get shorter as a weight's gradients add up; `rows` of an embedding table alone."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize
+from .common import ascii_lower, materialize, without
 
 WINDOW = 10  # words that are shared at least; an item of fewer is one window
 GRAM = 5  # words of a k-gram
@@ -143,6 +143,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit word."""
-    hit = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")
+    """The rows of docs without any hit word; those with a null id stay."""
+    return without(docs, contamination(docs, benchmark).where("contaminated").select("doc_id"))

@@ -7,16 +7,15 @@ sum of their codes is scored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Adagrad, held_out, labelled_sample
+from .common import Adagrad, held_out, labelled_sample, score_rows
 
 ROWS = 1 << 15
 DIM = 16
@@ -211,20 +210,25 @@ def score(docs: DataFrame, model: AttentionMil) -> DataFrame:
     Whole texts are scored, null ones as empty (one passage without words). Only the text is an input; other columns are
     not read. An empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
-        for batch in batches:
-            texts = batch.column(1)
-            for s in range(0, len(texts), 1000):
-                values = shared.value.scores((x.as_py() for x in texts.slice(s, 1000)), vocabulary)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s, 1000), pa.array(values, pa.float64())], ["doc_id", "score"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(scored, "doc_id long, score double").select(
-        "doc_id",
-        F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"),
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _scored(ids, model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.coalesce(held_out("row.doc_id"), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep(docs: DataFrame, model: AttentionMil) -> DataFrame:
+    """The rows of docs that score() predicts good, with all their columns."""
+    return _scored(docs, model).where(F.col("score") >= THRESHOLD).select("row.*")
+
+
+def _scored(docs: DataFrame, model: AttentionMil) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def scorer():
+        vocabulary = Vocabulary()
+        return lambda texts: shared.value.scores(texts, vocabulary)
+
+    return score_rows(docs, F.col("text").cast("binary"), scorer)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, without
 from .components import connected_components
 
 SEED = 42
@@ -123,7 +123,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is their component's smallest; one of each group stays, repeated ids included."""
-    kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id"))
-    kept = kept.select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
+    """One row of each component of docs stays, that of the smallest id; of rows that repeat an id, any one does.
+
+    Rows with a null id can't be named, so they stay.
+    """
+    found = near_duplicates(docs, id_col, text_col)
+    kept = without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col), id_col)
+    repeated = docs.groupBy(id_col).count().where((F.col("count") > 1) & F.col(id_col).isNotNull())
+    if repeated.isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))

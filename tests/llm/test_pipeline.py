@@ -1,0 +1,106 @@
+"""Each stage against a brute-force version of it, on the documents that the stage before it kept."""
+
+import random
+import re
+
+import corpus_pipeline
+import pytest
+from lakeread.llm import quality, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        out.append((name, docs))
+        docs = stage(spark, docs, SF).persist()
+    return dict([*out, ("end", docs)])
+
+
+def ids(df):
+    return sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+
+def test_stages_return_documents(kept):
+    columns = kept["toxicity"].columns
+    assert all(kept[n].columns == columns for n, _ in corpus_pipeline.STAGES)
+    sizes = [kept[n].count() for n, _ in corpus_pipeline.STAGES]
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
+
+
+@pytest.mark.parametrize("name, after, module, bad", [("toxicity", "quality", toxicity, 1), ("quality", "simhash_near_dedup", quality, 0)])
+def test_what_a_classifier_rejects_goes(spark, kept, name, after, module, bad):
+    docs = kept[name]
+    scored = module.score(docs, module.fit(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+    assert ids(kept[after]) == sorted(r["doc_id"] for r in scored.collect() if r["predicted"] != bad)
+
+
+def test_one_of_each_group_of_near_duplicates_stays(kept):
+    from test_simhash import brute_components, brute_fingerprint
+
+    fps = {r["doc_id"]: brute_fingerprint(r["text"]) for r in kept["simhash_near_dedup"].collect()}
+    assert ids(kept["benchmark_decontamination"]) == sorted(set(brute_components(fps).values()))
+
+
+def test_documents_with_benchmark_passages_go(spark, kept):
+    words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = words(r["text"])
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))}
+    clean = []
+    for r in kept["benchmark_decontamination"].collect():
+        w = words(r["text"])
+        if not any(tuple(w[i : i + 10]) in windows for i in range(len(w) - 9)):
+            clean.append(r["doc_id"])
+    assert ids(kept["mixing"]) == sorted(clean)
+
+
+def test_the_mix_is_of_what_is_left(kept):
+    docs = {r["doc_id"]: r for r in kept["mixing"].collect()}
+    rows = {r["doc_id"]: r for r in kept["end"].collect()}
+    assert rows.keys() == docs.keys()
+    size = lambda t: len(t.encode().split())
+    total, by_source = 0, {}
+    for i, r in docs.items():
+        assert rows[i]["size"] == size(r["text"]) and 0 <= rows[i]["taken"] <= 3 * rows[i]["size"]
+        total += rows[i]["size"]
+        by_source.setdefault(r["source"], []).append(i)
+    weights = {s: k % 3 + 1 for k, s in enumerate(sorted(by_source))}
+    sizes = {s: sum(rows[i]["size"] for i in members) for s, members in by_source.items()}
+    target, free = {}, set(by_source)
+    while True:
+        level = (total - sum(target.values())) / sum(weights[s] for s in free)
+        over = {s for s in free if weights[s] * level > 3 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 3 * sizes[s] for s in over}
+        free -= over
+    target |= {s: weights[s] * level for s in free}
+    for s, members in by_source.items():
+        assert all(abs(rows[i]["target"] - target[s]) < 1e-5 for i in members)
+        assert abs(sum(rows[i]["taken"] for i in members) - target[s]) <= max(rows[i]["size"] for i in members)
+
+
+def test_run_gives_the_last_stage(spark, kept):
+    got = sorted((r["doc_id"], r["taken"]) for r in corpus_pipeline.run(spark, SF).collect())
+    assert got == sorted((r["doc_id"], r["taken"]) for r in kept["end"].collect())
+
+
+def test_stages_take_empty_and_odd_documents(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, score double, _gone long"
+    rnd = random.Random(1)
+    rows = [(None, None, None, None, None, None, None, None), (1, "", None, "a", 0, "x", 1.0, 2), (1, "", None, "a", 0, "x", 1.0, 2)]
+    rows += [(i, " ".join(f"w{rnd.randrange(30)}" for _ in range(40)), "en", None, 3, "x", 0.5, 1) for i in range(3, 40)]
+    spark.createDataFrame([(i, 1, i % 2) for i in range(3, 40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "w1 w2"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            n = out.count()
+            assert n <= len(some)
+            assert name == "mixing" or out.columns == docs.columns
+        assert (n > 0) == bool(some)
