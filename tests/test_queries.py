@@ -1,0 +1,28 @@
+"""Every query of the library against its DuckDB SQL at sf0.01."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+from lakeread.plans.queries import ORACLE_SQL, QUERIES  # noqa: E402
+from oracle import compare  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, name):
+    df = QUERIES[name](spark, SF)
+    if name in ORACLE_SQL:
+        assert compare(df, ORACLE_SQL[name], SF) > 0
+    else:
+        assert df.count() > 0
+
+
+def test_entry(spark):
+    import __spark_entry__ as contract
+
+    assert contract.entry(spark).count() > 0
+    assert set(contract.oracle_sql()) <= set(contract.queries())
