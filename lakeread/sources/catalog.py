@@ -137,8 +137,9 @@ class Catalog:
         sql = f"CREATE TABLE {self.table(database, table)} ({columns}) USING {file_format}"
         if schema.partition_keys:
             sql += f" PARTITIONED BY ({', '.join(map(_quoted, schema.partition_keys))})"
-        if buckets and schema.primary_keys:
-            sql += f" CLUSTERED BY ({', '.join(map(_quoted, schema.primary_keys))}) INTO {buckets} BUCKETS"
+        bucketed = [k for k in schema.primary_keys if k not in schema.partition_keys]
+        if buckets and bucketed:
+            sql += f" CLUSTERED BY ({', '.join(map(_quoted, bucketed))}) INTO {buckets} BUCKETS"
         declared = json.dumps(asdict(schema)).replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"{sql} TBLPROPERTIES ('{DECLARED}' = '{declared}')")
 

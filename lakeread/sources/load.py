@@ -43,6 +43,7 @@ def typed(text: Column, field: T.StructField) -> Column:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",", quote: str = '"') -> DataFrame:
     """The rows of files without header, bound to the schema's fields by place; surplus values are ignored."""
+    values = [typed(F.col(f"_{i}"), f).alias(f.name, metadata=f.metadata) for i, f in enumerate(schema)]
     texts = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(schema))])
     raw = spark.read.schema(texts).option("enforceSchema", True).csv(path, sep=delimiter, quote=quote, escape=quote, header=False)
-    return raw.select(*(typed(F.col(f"_{i}"), f).alias(f.name, metadata=f.metadata) for i, f in enumerate(schema)))
+    return raw.select(*values)

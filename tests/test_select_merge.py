@@ -1,0 +1,90 @@
+import itertools
+import random
+
+import pyarrow as pa
+import pytest
+from lakeread.operators import batches, merge, select
+from pyspark.sql import functions as F
+
+SCHEMA = "id int, s struct<a:int,b:struct<x:int,y:string>,c:double>, l array<struct<p:int,q:int>>, m map<string,struct<u:int,v:int>>"
+ROW = (1, (2, (3, "y"), 4.0), [(5, 6), (7, 8)], {"k": (9, 10)})
+
+
+@pytest.fixture(scope="module")
+def nested(spark):
+    return spark.createDataFrame([ROW, (2, None, None, None)], SCHEMA)
+
+
+@pytest.mark.parametrize(
+    "columns, paths, want",
+    [
+        (["s", "id"], "s.b.y,s.c", {"s": {"b": {"y": "y"}, "c": 4.0}, "id": 1}),
+        (["s"], "s.c", {"s": {"c": 4.0}}),
+        (["s"], "s.b,s.b.y", {"s": {"b": {"x": 3, "y": "y"}}}),
+        (["s"], "", {"s": {"a": 2, "b": {"x": 3, "y": "y"}, "c": 4.0}}),
+        (["l"], "l.$0.q", {"l": [{"q": 6}, {"q": 8}]}),
+        (["m"], "m.$0", {"m": ["k"]}),
+        (["m"], "m.$1.v", {"m": [{"v": 10}]}),
+        (["m"], "m.$0,m.$1.u", {"m": {"k": {"u": 9}}}),
+    ],
+)
+def test_nested_paths(nested, columns, paths, want):
+    first, second = sorted(select.select(nested, columns, paths).collect(), key=lambda r: r[columns[0]] is None)
+    assert first.asDict(recursive=True) == want
+    assert all(v is None for k, v in second.asDict().items() if k != "id")
+
+
+@pytest.mark.parametrize("columns, paths", [(["z"], ""), (["s"], "s.z"), (["l"], "l.p"), (["m"], "m.u"), (["id"], "id.x")])
+def test_unknown_names_are_errors(nested, columns, paths):
+    with pytest.raises(ValueError):
+        select.select(nested, columns, paths)
+
+
+def test_struct_fields_are_pruned_in_the_scan(nested, spark, tmp_path):
+    nested.write.parquet(f"{tmp_path}/n")
+    plan = select.select(spark.read.parquet(f"{tmp_path}/n"), ["s"], "s.b.y")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<s:struct<b:struct<y:string>>>" in plan
+
+
+def test_merge_on_read_matches_replay(spark):
+    rnd = random.Random(8)
+    base = [(k, 0, 0, f"base{k}", False) for k in range(40)]
+    log = [(rnd.choice([0, 1, rnd.randrange(60)]), rnd.randrange(3), n, f"v{n}", rnd.random() < 0.3) for n in range(1, 400)]
+    schema = "k int, at int, n int, v string, gone boolean"
+    frames = spark.createDataFrame(base, schema), spark.createDataFrame(log, schema).repartition(5)
+    got = merge.merge_on_read(*frames, ["k"], "at", ["n"], F.col("gone"))
+    alive: dict = {}
+    for row in sorted(base + log, key=lambda r: (r[1], r[2])):
+        alive[row[0]] = row
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in alive.values() if not r[4])
+    only = merge.merge_on_read(None, frames[1], ["k"], "at", ["n"], F.col("gone"))
+    assert {r["v"] for r in only.collect()} <= {r[3] for r in log}
+
+
+def test_a_change_wins_over_the_base_and_columns_go_by_name(spark):
+    base = spark.createDataFrame([(1, 5, "old")], "k int, at int, v string")
+    log = spark.createDataFrame([("new", 5, 1), ("null", None, 2)], "v string, at int, k int")
+    got = {r["k"]: r["v"] for r in merge.merge_on_read(base, log, ["k"], "at", []).collect()}
+    assert got == {1: "new", 2: "null"}
+
+
+def test_file_slices(spark):
+    files = [
+        ("p", "g1", "001", "base", 0, "b1"), ("p", "g1", "002", "log", 1, "l2"), ("p", "g1", "003", "base", 0, "b3"), ("p", "g1", "003", "log", 2, "l3b"),
+        ("p", "g1", "003", "log", 1, "l3a"), ("p", "g1", "004", "log", 0, "l4"), ("p", "g1", "009", "base", 0, "late"), ("p", "g2", "002", "log", 0, "only"),
+        ("q", "g3", "009", "base", 0, "later"),
+    ]
+    df = spark.createDataFrame(files, "partition string, file_group string, instant string, kind string, sequence int, path string")
+    got = {r["file_group"]: (r["base_file"], r["logs"]) for r in merge.file_slices(df, "005").collect()}
+    assert got == {"g1": ("b3", ["l3a", "l3b", "l4"]), "g2": (None, ["only"])}
+    none = spark.createDataFrame([("1", "inflight")], "instant string, state string")
+    assert merge.snapshot_instant(none).first()[0] is None
+
+
+@pytest.mark.parametrize("rows, size", list(itertools.product([0, 1, 100], [7, 100])))
+def test_arrow_batches_hold_all_rows(spark, rows, size):
+    df = spark.range(rows).selectExpr("id", "array(id, null) AS l", "struct(id AS x) AS s").coalesce(1)
+    found = list(batches.arrow_batches(df, size))
+    assert [b.num_rows for b in found] == [size] * (rows // size) + [rows % size] * (rows % size > 0)
+    if rows:
+        assert pa.Table.from_batches(found).column("id").to_pylist() == list(range(rows))
