@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import LogicalType, parse_ddl, physical_of
+from ..operators.merge import latest_by_key
 from ..operators.predicate import parse
+from .base import TableSource
 
 DECLARED = "lakeread.declared"  # table property with what Spark's own schema can't hold
 
@@ -76,7 +78,7 @@ def _quoted(*names: str) -> str:
     return ".".join("`" + n.replace("`", "``") + "`" for n in names)
 
 
-class Catalog:
+class Catalog(TableSource):
     """Three-level names may be given as @catalog#database."""
 
     def __init__(self, spark: SparkSession) -> None:
@@ -161,11 +163,18 @@ class Catalog:
         fields = [(c.name, f"nullable({plain.get(c.dataType, c.dataType)})") for c in columns]
         return TableSchema(fields, [], [c.name for c in columns if c.isPartition], {})
 
-    def read(self, database: str, table: str) -> DataFrame:
-        """The table with its declared types as column metadata, columns in declared order."""
+    def read(self, database: str, table: str, merged: bool = True) -> DataFrame:
+        """The table with its declared types as column metadata, columns in declared order.
+
+        Of a table with primary keys the last written row of each key, unless merged is False: that of the latest file,
+        and in a file the last. It takes one exchange, on the keys, for partial results.
+        """
         df, declared = self.spark.table(self.table(database, table)), self.schema(database, table)
-        types = dict(declared.logical())
-        return df.select(*(F.col(f"`{n}`").alias(n, metadata={"declared_type": str(t)}) for n, t in types.items()))
+        if declared.primary_keys and merged:
+            written = F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.file_block_start")
+            rows = df.withColumns({"_written": written, "_place": F.monotonically_increasing_id()})
+            df = latest_by_key(rows, declared.primary_keys, ["_written", "_place"])
+        return df.select(*(F.col(f"`{n}`").alias(n, metadata={"declared_type": str(t)}) for n, t in declared.logical()))
 
     def write(self, database: str, table: str, rows: DataFrame, overwrite: bool = False) -> int:
         """Appends rows, or replaces all of the table's, by column name, in one commit; returns how many there were."""

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from lakeread import cli
@@ -150,3 +151,30 @@ def test_generated_rows_are_seeded(spark):
     one, two, other = (populate(spark, schema, 50, 0.2, s).select(F.to_json(F.struct("*"))) for s in (1, 1, 2))
     assert one.collect() == two.collect() != other.collect()
     assert all(len(r["col_char"] or "") <= 10 for r in populate(spark, schema, 50).collect())
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc"])
+@pytest.mark.parametrize("buckets", ["0", "3"])
+def test_a_table_with_primary_keys_gives_the_last_row_of_each(run, spark, tmp_path, file_format, buckets):
+    run("CREATE_DATABASE", "test_db")
+    run("CREATE_TABLE", database="test_db", table="t", columns=columns({"k": "int", "v": "varchar(9)"}), primaryKeys=["k"], schemaOptions={"file.format": file_format, "bucket": buckets})
+    for n, text in enumerate(["1,a\n2,b\n1,c\n", "2,d\n3,e\n"]):
+        (tmp_path / f"{n}.csv").write_text(text)
+        time.sleep(0.05)
+        rows = text.count("\n")  # as written, not as they survive
+        assert f"{rows} rows have been inserted" in run("LOAD_TABLE", database="test_db", table="t", filePath=str(tmp_path / f"{n}.csv"))
+    catalog = Catalog(spark)
+    assert sorted(map(tuple, catalog.read("test_db", "t").collect())) == [(1, "c"), (2, "d"), (3, "e")]
+    assert catalog.read("test_db", "t", merged=False).count() == 5
+
+
+def test_sources_offer_nothing_by_default_and_calls_are_traced(spark, caplog):
+    from lakeread.sources.base import TableSource, traced
+
+    source = TableSource()
+    for name, args in (("list_databases", ()), ("list_tables", ("d",)), ("table_exists", ("d", "t")), ("schema", ("d", "t")), ("read", ("d", "t")), ("partitions", ("d", "t")), ("partitions_by_filter", ("d", "t", ""))):
+        with pytest.raises(NotImplementedError):
+            getattr(source, name)(*args)
+    with caplog.at_level("INFO", "lakeread"):
+        assert "default" in traced(spark, Catalog(spark).list_databases)()
+    assert "list_databases() took" in caplog.text
