@@ -201,7 +201,7 @@ s AS (
   FROM s JOIN known ON sentence = trim(regexp_replace(
     translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'))
 ), m AS (
-  SELECT a.doc_id, a.text, a.turn, rule, license, len(ids) AS n, min(b.place) AS first_sentence, max(b.place) AS last_sentence,
+  SELECT a.doc_id, a.text, a.turn, rule, license, len(ids) AS n, min(b.place)::INT AS first_sentence, max(b.place)::INT AS last_sentence,
     list(b.id ORDER BY b.turn) AS found, any_value(ids) AS ids
   FROM k a JOIN rules ON a.id = ids[1] JOIN k b ON a.doc_id = b.doc_id AND a.text = b.text AND b.turn BETWEEN a.turn AND a.turn + len(ids) - 1
   GROUP BY ALL
