@@ -74,7 +74,8 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     and 7 - max_bits of the first seven. A posting list for one byte would hold 1/256 of the corpus, so the index is
     keyed by that many positional bytes at once (35 keys of four bytes for three bits): no pair can miss all of its
     keys. Pairs that meet are tallied by shared bytes, kept from 8 - max_bits on, then verified bit by bit. Tally and
-    test are part of the join, which so puts out links only; repeats from several keys are merged.
+    test are part of the join, which so puts out links only; repeats from several keys are merged. The join is hinted:
+    Spark judges the postings by the size of the table that they are exploded from, and may broadcast them.
     """
     key_bytes = BYTES - 1 - max_bits
     masks = [_signed(sum(255 << 8 * i for i in places)) for places in combinations(range(BYTES - 1), key_bytes)]
@@ -85,7 +86,7 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     right = postings.toDF("b", "places", "bytes")
     a, b = F.col("a"), F.col("b")
     pairs = left.alias("l").join(
-        right.alias("r"),
+        right.alias("r").hint("merge"),
         (F.col("l.places") == F.col("r.places"))
         & (F.col("l.bytes") == F.col("r.bytes"))
         & (a < b)
