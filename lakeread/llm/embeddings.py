@@ -46,8 +46,24 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part[["uid", "label"]].assign(size=size, keys=list(keys))
 
 
+def _forest(links: np.ndarray) -> np.ndarray:
+    """Links (n x 2) that hold the same nodes together, at most one for each node: to the smallest that it reaches."""
+    nodes, ends = np.unique(links, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    least = np.arange(len(nodes))
+    while True:
+        before = least.copy()
+        both = np.minimum(least[a], least[b])
+        np.minimum.at(least, a, both)
+        np.minimum.at(least, b, both)
+        least = least[least]
+        if (least == before).all():
+            hung = least != np.arange(len(nodes))
+            return np.stack([nodes[least[hung]], nodes[hung]], axis=1)
+
+
 def _neighbours(group: pd.DataFrame) -> pd.DataFrame:
-    """Linked pairs among the neighbours of one block."""
+    """What the linked pairs among the neighbours of one block hold together."""
     group = group.sort_values("rank", ignore_index=True)
     lists = group.groupby(["pass", "label", "size"], sort=False).ngroup().to_numpy()
     nodes, again, links = group["node"].to_numpy(), group["again"].to_numpy(), [np.empty((0, 2), np.int64)]
@@ -56,17 +72,18 @@ def _neighbours(group: pd.DataFrame) -> pd.DataFrame:
         for d in range(1, min(NEIGHBOURS, len(part) - 1) + 1):
             near = (np.einsum("ij,ij->i", m[:-d], m[d:]) >= COSINE) & fresh[d:] & (own[:-d] != own[d:])
             links.append(np.stack([own[:-d][near], own[d:][near]], axis=1))
-    found = np.unique(np.sort(np.concatenate(links), axis=1), axis=0)
+    found = _forest(np.concatenate(links))
     return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
 
-def candidate_links(distinct: DataFrame) -> DataFrame:
-    """(a, b): verified pairs of nodes of distinct vectors (uid, label, embedding, node), from all passes.
+def component_links(distinct: DataFrame) -> DataFrame:
+    """(a, b): what the verified pairs of distinct vectors (uid, label, embedding, node) hold together, from all passes.
 
     A pass orders the vectors of a label by the concatenation of its random hashes, of which near vectors share a long
     beginning; every vector is compared with the NEIGHBOURS after it. Passes are ordered together by one range exchange
     and cut into blocks of equal length by rank, so that no label, however large, makes a task larger than others; the
-    last vectors of a block are sent to the next one too, so that no neighbours are missed at a cut.
+    last vectors of a block are sent to the next one too, so that no neighbours are missed at a cut. A block puts out a
+    forest of its verified pairs, at most a link for each vector: a dense group would have NEIGHBOURS times as many.
     """
     label = distinct.schema["label"].dataType.simpleString()
     keyed = distinct.select("uid", "label", "embedding").mapInPandas(_signatures, f"uid long, label {label}, size int, keys array<long>")
@@ -130,7 +147,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id") -> DataFrame:
     rows = materialize(_prepared(vectors, id_col), "vectors")
     merged = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     distinct = materialize(merged.withColumn("uid", F.monotonically_increasing_id()), "distinct")
-    components = materialize(connected_components(materialize(candidate_links(distinct), "links")), "components")
+    components = materialize(connected_components(materialize(component_links(distinct), "links")), "components")
     known = distinct.join(components, "node", "left").join(_counted(distinct, components), "node", "left").select(
         "label", "embedding", F.coalesce("component", "node").alias("component"),
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("links"),
