@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..workspace import new_path
+
 IDS = 500_000  # at most so many ids are broadcast
+SAMPLE_CHARS = 100_000_000  # of the texts that a classifier is trained on
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -20,22 +21,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, A_TO_Z, A_TO_Z.lower())
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where that is unset (tests, local mode)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="lakeread-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: lineage is cut and any executor may be lost."""
     return read_work(df.sparkSession, write_work(df, name), df)
 
 
 def write_work(df: DataFrame, name: str) -> str:
-    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return path
 
@@ -61,12 +53,8 @@ def rank_globally(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
     dealt = materialize(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranked")
     part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
     sizes = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = F.broadcast(  # at most one row per shuffle partition
-        sizes.alias("p")
-        .join(F.broadcast(sizes.alias("q")), F.col("q._part") < F.col("p._part"), "left")
-        .groupBy("p._part")
-        .agg(F.coalesce(F.sum("q._n"), F.lit(0)).alias("_before"))
-    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.broadcast(sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
     return (
         dealt.withColumn("_part", part).join(before, "_part")
         .withColumn(name, F.col("_before") + within).drop("_at", "_part", "_before")
@@ -78,14 +66,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     Training rows are those with a label whose crc32(doc_id as text) mod 5 is not 0; the ones with the smallest
     xxhash64(doc_id) are taken, so that the sample is seeded and needs no sort of the corpus. Ids that are repeated in
-    labels count once, with the greatest label; null ids and labels are left out.
+    labels count once, with the greatest label; null ids and labels are left out. If the texts have more than
+    SAMPLE_CHARS characters together, those after that many in hash order are left out too.
     """
     clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     clean = clean.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = [clean.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     some = F.broadcast(chosen[0].union(chosen[1]))  # 2 * per_class rows at most
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id")
-    return sorted((r["doc_id"], r["text"] or "", r["y"]) for r in texts.collect())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(some, "doc_id")
+    texts = materialize(texts.select("doc_id", "y", "text", F.length("text").alias("size"), F.xxhash64("doc_id").alias("turn")), "sample")
+    if (texts.agg(F.sum("size")).first()[0] or 0) > SAMPLE_CHARS:
+        so_far = F.sum("size").over(Window.orderBy("turn", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+        within = texts.select("doc_id", "turn", "size").withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_CHARS)
+        texts = texts.join(F.broadcast(within.select("doc_id").distinct()), "doc_id", "left_semi")
+    return sorted((r["doc_id"], r["text"], r["y"]) for r in texts.select("doc_id", "text", "y").collect())
 
 
 def held_out(id_col: str) -> Column:

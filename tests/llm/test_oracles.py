@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent))
+sys.path.insert(0, str(Path(__file__).parents[1]))
 from lakeread.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 from oracle import compare  # noqa: E402
 
