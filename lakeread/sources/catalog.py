@@ -15,6 +15,7 @@ from ..operators.predicate import parse
 from .base import TableSource
 
 DECLARED = "lakeread.declared"  # table property with what Spark's own schema can't hold
+FILLER = "_lakeread_filler"  # stored column of tables that have partition keys only, which Spark doesn't allow
 
 #: Parameters that a store must have.
 S3_REQUIRED = ["endpoint", "accessKey", "secretKey"]
@@ -126,7 +127,8 @@ class Catalog(TableSource):
     def create_table(self, database: str, table: str, schema: TableSchema, file_format: str = "parquet", buckets: int = 0) -> None:
         """Fields, keys and options are kept as declared in a property: files neither hold NOT NULL nor lengths.
 
-        With buckets and primary keys the rows of a key go to one of so many files.
+        With buckets and primary keys the rows of a key go to one of so many files; the option file.compression is the
+        files' codec. All columns may be partition keys.
         """
         if not self.database_exists(database):
             raise ValueError(f"Database '{database}' not exists.")
@@ -136,7 +138,11 @@ class Catalog(TableSource):
         if unknown := [k for k in (*schema.primary_keys, *schema.partition_keys) if k not in names]:
             raise ValueError(f"no column for the keys {unknown}")
         columns = ", ".join(f"{_quoted(n)} {t.spark().simpleString()}" for n, t in schema.logical())
+        if set(names) == set(schema.partition_keys):
+            columns += f", {FILLER} tinyint"
         sql = f"CREATE TABLE {self.table(database, table)} ({columns}) USING {file_format}"
+        if codec := schema.options.get("file.compression"):
+            sql += f" OPTIONS (compression '{codec}')"
         if schema.partition_keys:
             sql += f" PARTITIONED BY ({', '.join(map(_quoted, schema.partition_keys))})"
         bucketed = [k for k in schema.primary_keys if k not in schema.partition_keys]

@@ -178,3 +178,19 @@ def test_sources_offer_nothing_by_default_and_calls_are_traced(spark, caplog):
     with caplog.at_level("INFO", "lakeread"):
         assert "default" in traced(spark, Catalog(spark).list_databases)()
     assert "list_databases() took" in caplog.text
+
+
+@pytest.mark.parametrize(
+    "types",
+    [["boolean"], ["char(10)", "varchar(50)"], ["decimal(8,1)", "decimal(15,2)", "decimal(35,3)"], ["float", "double"], ["tinyint", "smallint", "int", "bigint"], ["date", "timestamp"]],
+)
+def test_tables_of_partition_keys_only(run, spark, types):
+    run("CREATE_DATABASE", "test_db")
+    fields = columns({f"p{i}": t for i, t in enumerate(types)})
+    run("CREATE_TABLE", database="test_db", table="t", columns=fields, partitionKeys=[f["name"] for f in fields], schemaOptions={"file.compression": "zstd"})
+    assert "16 rows have been generated" in run("POPULATE_TABLE", database="test_db", table="t", seed=3)
+    catalog = Catalog(spark)
+    rows = catalog.read("test_db", "t")
+    assert rows.count() == 16 and rows.columns == [f["name"] for f in fields]
+    assert sorted(map(repr, catalog.partitions("test_db", "t").collect())) == sorted(map(repr, rows.distinct().collect()))
+    assert len(run("SHOW_DATA", "test_db.t").splitlines()) == 17
