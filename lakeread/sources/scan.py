@@ -37,20 +37,24 @@ class Scan:
         rows = self.table if condition is None else self.table.where(condition)
         return select(rows, self.fields or self.table.columns, self.nested)
 
-    def files(self) -> DataFrame:
-        """(path, size, offset, length, modified, rows) of the file parts that hold rows of the scan."""
+    def files(self, matching: bool = False) -> DataFrame:
+        """(path, size, offset, length, modified, rows) of the file parts that the table has rows in.
+
+        That takes the files' footers only. With matching=True the filter is applied, so its columns are read: the parts
+        that hold rows of the scan, and how many.
+        """
         condition = self.parsed().condition
-        rows = self.table if condition is None else self.table.where(condition)
+        rows = self.table if condition is None or not matching else self.table.where(condition)
         m = F.col("_metadata")
         return rows.groupBy(
             m["file_path"].alias("path"), m["file_size"].alias("size"), m["file_block_start"].alias("offset"),
             m["file_block_length"].alias("length"), m["file_modification_time"].alias("modified"),
         ).agg(F.count("*").alias("rows"))
 
-    def raw_files(self) -> DataFrame:
+    def raw_files(self, matching: bool = False) -> DataFrame:
         """(descriptor): the file parts as JSON."""
         name = F.element_at(F.split("path", r"\."), -1)
-        return self.files().withColumn("format", name).select(F.to_json(F.struct("path", "size", "offset", "length", "format", "rows", "modified")).alias("descriptor"))
+        return self.files(matching).withColumn("format", name).select(F.to_json(F.struct("path", "size", "offset", "length", "format", "rows", "modified")).alias("descriptor"))
 
 
 def read(spark: SparkSession, path: str, file_format: str = "parquet", **options: str) -> DataFrame:
