@@ -168,3 +168,14 @@ def test_revisits_match_brute_force(spark, block):
         assert got[i]["headers"] == merged
     assert seen == {"resolved", "mismatch", "unverifiable", "missing"}
     assert revisits.resolve(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_repeated_records_and_records_without_responses(spark):
+    schema = "id long, url string, ts long, kind string, etag string, last_modified string, digest string, payload_length long, headers map<string,string>"
+    visit, other = (2, "a.com", 5, "revisit", "x", None, None, None, None), (3, "b.com", 5, "revisit", "x", None, None, None, None)
+    response = (1, "http://A.com/", 4, "response", "x", None, None, 9, {"A": "b"})
+    rows = spark.createDataFrame([visit, visit, other, response, response], schema)
+    got = sorted((r["id"], r["status"], r["refers_to"]) for r in revisits.resolve(rows).collect())
+    assert got == [(2, "resolved", 1), (2, "resolved", 1), (3, "missing", None)]
+    assert {r["status"] for r in revisits.resolve(spark.createDataFrame([visit], schema)).collect()} == {"missing"}
+    assert revisits.resolve(spark.createDataFrame([response], schema)).collect() == []

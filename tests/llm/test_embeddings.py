@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -61,7 +62,10 @@ def test_empty_and_repeated_ids(spark):
 @pytest.mark.parametrize("table", ["check_s", "check_h"])
 def test_recall_on_clustered_vectors(spark, table):
     """Links found against brute force over every row of a label, in blocks."""
-    df = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet")
+    path = Path(f"/root/testdata/{table}/embeddings.parquet")
+    if not path.exists():
+        pytest.skip("the clustered tables are not here")
+    df = spark.read.parquet(str(path))
     got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df).collect()}
     rows = df.select("vec_id", "embedding", "label").toPandas()
     total = 0
