@@ -47,41 +47,45 @@ class _Hashes(dict):
         return found
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoder(size: int):
     """Chunks of documents: ids, lengths in words, distinct word hashes by falling frequency, and the words as places in these."""
-    hashes, ids, texts, held, made = _Hashes(), [], [], 0, 0
-    first = TaskContext.get().partitionId() << 32
-
-    def chunk() -> pa.RecordBatch:
-        words = np.concatenate(texts)
-        distinct, places, counts = np.unique(words, return_inverse=True, return_counts=True)
-        by_count = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(distinct), np.int32)
-        rank[by_count] = np.arange(len(distinct), dtype=np.int32)
-        columns = {
-            "chunk": pa.array([first + made], pa.int64()),
-            "ids": pa.array([ids], pa.list_(pa.int64())),
-            "lengths": pa.array([pack(np.array([len(t) for t in texts], np.int32))]),
-            "words": pa.array([pack(rank[places.ravel()])]),
-            "n_words": pa.array([len(words)], pa.int64()),
-            "vocabulary": pa.array([pack(distinct[by_count])]),
-            "n_vocabulary": pa.array([len(distinct)], pa.int64()),
-        }
-        return pa.RecordBatch.from_pydict(columns)
-
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words = np.fromiter(map(hashes.__getitem__, (text.as_py() or b"").lower().split()), dtype=np.uint64)
-            if texts and held + len(words) > CHUNK:
-                yield chunk()
-                ids, texts, held, made = [], [], 0, made + 1
-            ids.append(doc_id)
-            texts.append(words)
-            held += len(words)
-            if len(hashes) > 500_000:
-                hashes.clear()
-    if texts:
-        yield chunk()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, ids, texts, held, made = _Hashes(), [], [], 0, 0
+        first = TaskContext.get().partitionId() << 32
+
+        def chunk() -> pa.RecordBatch:
+            words = np.concatenate(texts)
+            distinct, places, counts = np.unique(words, return_inverse=True, return_counts=True)
+            by_count = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(distinct), np.int32)
+            rank[by_count] = np.arange(len(distinct), dtype=np.int32)
+            columns = {
+                "chunk": pa.array([first + made], pa.int64()),
+                "ids": pa.array([ids], pa.list_(pa.int64())),
+                "lengths": pa.array([pack(np.array([len(t) for t in texts], np.int32))]),
+                "words": pa.array([pack(rank[places.ravel()])]),
+                "n_words": pa.array([len(words)], pa.int64()),
+                "vocabulary": pa.array([pack(distinct[by_count])]),
+                "n_vocabulary": pa.array([len(distinct)], pa.int64()),
+            }
+            return pa.RecordBatch.from_pydict(columns)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = np.fromiter(map(hashes.__getitem__, (text.as_py() or b"").lower().split()), dtype=np.uint64)
+                if texts and held + len(words) > size:
+                    yield chunk()
+                    ids, texts, held, made = [], [], 0, made + 1
+                ids.append(doc_id)
+                texts.append(words)
+                held += len(words)
+                if len(hashes) > 500_000:
+                    hashes.clear()
+        if texts:
+            yield chunk()
+
+    return encode
 
 
 def _grams(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
@@ -167,7 +171,9 @@ def _scorer(order: int, tokens: int, backoff: float, min_count: int):
     return scored
 
 
-def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> DataFrame:
+def scores(
+    docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT, chunk: int = CHUNK, partition: int = PARTITION
+) -> DataFrame:
     """One row per row of docs: (doc_id, n_tokens, log_score, mean_log_score).
 
     Words are runs without ASCII blanks, A-Z lower-cased. Counts are of all documents, and n-grams don't cross from one
@@ -178,12 +184,15 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
     n-grams are told apart by 64-bit hashes. Other columns are not read.
 
     Frequent n-grams are summed within a chunk before they are shuffled, so no partition grows with how often one occurs.
+    A task holds one chunk (of that many words) or one hash partition (of that many n-grams), and a shuffled row about
+    chunk * partition / corpus of them: both should be raised with the executors' memory on corpora beyond some 10**12
+    words, so that rows hold a hundred n-grams still. Chunks are cut within the input's partitions.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     schema = "chunk long, ids array<long>, lengths binary, words binary, n_words long, vocabulary binary, n_vocabulary long"
-    chunks = materialize(texts.mapInArrow(_encode, schema), "chunks")
+    chunks = materialize(texts.mapInArrow(_encoder(chunk), schema), "chunks")
     tokens = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(0, (tokens // PARTITION).bit_length())
+    bits = max(0, (tokens // partition).bit_length())
     exploded = chunks.mapInPandas(_exploder(order, bits), "n int, part long, chunk long, size long, gaps binary, counts binary")
     totals = exploded.groupBy("n", "part").applyInPandas(_total, "chunk long, n int, part long, size long, totals binary")
     scored = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(

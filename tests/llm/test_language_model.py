@@ -23,13 +23,12 @@ def brute(docs, order, backoff=0.4, least=2):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_match_brute_force(spark, monkeypatch, order):
-    monkeypatch.setattr(lm, "PARTITION", 100)  # so that there are several hash partitions
+def test_scores_match_brute_force(spark, order):
     rnd = random.Random(order)
     docs = [(i, " ".join(rnd.choice(["the", "The", "É", "of", "a\tb", f"w{rnd.randrange(80)}"]) for _ in range(rnd.choice([1, 2, 3, 50])))) for i in range(90)]
     docs += [(200, None), (201, ""), (202, " \n"), (203, "the of " * 5000), (3, docs[3][1]), (None, "the of")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = lm.scores(df.withColumn("chunk", df["doc_id"]), order).collect()
+    got = lm.scores(df.withColumn("chunk", df["doc_id"]), order, chunk=500, partition=100).collect()  # several of both
     assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["log_score"], 6)) for r in got) == brute(docs, order)
     assert all((r["mean_log_score"] is None) == (r["n_tokens"] == 0) for r in got)
 
