@@ -128,7 +128,8 @@ def _counted(distinct: DataFrame, components: DataFrame) -> DataFrame:
     spans = ranked.groupBy("component", "label").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     met = F.transform(F.sequence("low", "high"), lambda x: F.struct(F.least("part", x).alias("i"), F.greatest("part", x).alias("j")))
     places = ranked.join(spans, ["component", "label"]).select("uid", "component", "part", F.explode(met).alias("met"))
-    dealt = places.join(distinct, "uid").select("component", "label", "uid", "node", "copies", "embedding", "part", "met.i", "met.j")
+    # Hinted, since Spark takes places for as small as the table that they are exploded from.
+    dealt = places.join(distinct.hint("merge"), "uid").select("component", "label", "uid", "node", "copies", "embedding", "part", "met.i", "met.j")
     partial = dealt.groupBy("i", "j").applyInPandas(_counts, "node long, n long")
     return partial.groupBy("node").agg(F.sum("n").alias("n_links"))
 
