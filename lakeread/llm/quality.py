@@ -7,6 +7,7 @@ sum of their codes is scored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from zlib import crc32
@@ -38,23 +39,27 @@ def _shape(word: str) -> str:
 
 
 class Vocabulary(dict):
-    """word -> row of `ids`: the hashed embedding rows of the word and of its shape; starts anew when it grows too large."""
+    """word -> row of rows(); starts anew when it grows too large."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.ids: list[tuple[int, int]] = []
+        self.ids = array("i")
 
     def __missing__(self, word: bytes) -> int:
-        row = len(self.ids)
+        row = len(self.ids) // 2
         shape = _shape(word.decode(errors="replace"))
-        self.ids.append((crc32(word.lower()) % ROWS, crc32(b"#" + shape.encode()) % ROWS))
+        self.ids.extend((crc32(word.lower()) % ROWS, crc32(b"#" + shape.encode()) % ROWS))
         self[word] = row
         return row
 
+    def rows(self, of: np.ndarray) -> np.ndarray:
+        """The hashed rows of the embedding table of each word and of its shape."""
+        return np.array(self.ids, dtype=np.int32).reshape(-1, 2)[of]
+
     def trim(self) -> None:
-        if len(self.ids) > 400_000:
+        if len(self) > 300_000:
             self.clear()
-            self.ids.clear()
+            del self.ids[:]
 
 
 def _rows(text: bytes | None, vocabulary: Vocabulary) -> np.ndarray:
@@ -84,7 +89,7 @@ class AttentionMil:
         def flush() -> None:
             rows = np.concatenate(block)
             used, inverse = np.unique(rows, return_inverse=True)
-            vectors = self.table[np.array([vocabulary.ids[i] for i in used.tolist()])].sum(axis=1)
+            vectors = self.table[vocabulary.rows(used)].sum(axis=1)
             starts = np.concatenate([s + np.arange(0, len(d), PASSAGE) for s, d in zip(np.cumsum([0] + [len(d) for d in block[:-1]]), block)])
             repeats = np.concatenate([_repeats(d) for d in block])
             sums = np.add.reduceat(vectors[inverse.ravel()], starts, axis=0) + np.add.reduceat(repeats, starts)[:, None] * self.table[REPEATED]
@@ -163,7 +168,7 @@ def _train_batch(model: AttentionMil, opt: Adagrad, docs: list[np.ndarray], voca
     pair, times = np.unique(pairs, return_counts=True)
     word_grads = np.zeros((len(used), DIM), np.float32)
     np.add.at(word_grads, pair // len(each), each[pair % len(each)] * times[:, None])
-    ids = np.array([vocabulary.ids[i] for i in used.tolist()])
+    ids = vocabulary.rows(used)
     unique, place = np.unique(ids.ravel(), return_inverse=True)
     grad = np.zeros((len(unique), DIM), np.float32)
     np.add.at(grad, place.ravel(), np.repeat(word_grads, 2, axis=0))
