@@ -18,6 +18,7 @@ SEED = 42
 SHINGLE = 3
 BYTES = 8
 MAX_BITS = 3
+SALTS = 32  # tasks that the fingerprints of one large component are named in
 
 
 def _fingerprint(text: bytes | None) -> int:
@@ -110,11 +111,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(fingerprint_links(distinct, max_bits), "links")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     grouped = connected_components(links).join(degree, "node")
-    known = distinct.join(grouped, distinct["fp"] == grouped["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
-    smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = known.join(smallest, "component").select("fp", "component_id", "n_links")
+    linked = distinct.join(grouped, distinct["fp"] == grouped["node"]).withColumn("salt", F.pmod("fp", F.lit(SALTS)))
+    smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    smallest = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    named = linked.join(smallest.hint("merge"), ["component", "salt"]).select("fp", "component_id", "n_links")
+    alone = distinct.join(grouped, distinct["fp"] == grouped["node"], "left_anti")
+    named = named.union(alone.select("fp", F.col("least").alias("component_id"), F.lit(0).alias("n_links")))
     return fps.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
