@@ -1,8 +1,9 @@
-"""Embedding near-duplicates by sorted projection passes, components, and exact link counts within components."""
+"""Embedding near-duplicates by sorted projection passes, block against block where these are crowded, components, and exact
+link counts within components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,11 +14,13 @@ from .common import materialize, rank_globally
 from .components import connected_components
 
 COSINE = 0.98
-PASSES = 12
+PASSES = 12  # at least; more for labels of many vectors
 BITS = 62  # of a pass's signature
 NEIGHBOURS = 32  # that follow a vector in a pass's order and are compared with it
 BLOCK = 8_192  # vectors that one task compares with their neighbours
 MEMBERS = 2_048  # vectors of components that are held at once while links are counted
+MISSED = 0.01  # vectors whose links all passes would miss with a greater chance are crowded
+SAME = 1 - np.arccos(COSINE) / np.pi  # chance that a random hyperplane does not part the ends of the widest link
 SEED = 7
 
 
@@ -36,14 +39,24 @@ def _prepared(vectors: DataFrame, id_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("long").alias("id"), "label", F.when(fit, F.col("embedding")).alias("embedding"))
 
 
-def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _passes(vectors: int) -> int:
+    """So many that evenly spread vectors of one label are not crowded."""
+    prefix = max(0.0, np.log2(max(vectors, 1) / NEIGHBOURS)) + 1
+    return max(PASSES, int(np.ceil(np.log(MISSED / 2) / np.log1p(-(SAME**prefix)))))
+
+
+def _signatures(passes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """For each pass, the signs of BITS random projections concatenated to one number; vectors of any length."""
-    for batch in batches:
-        for size, part in batch.groupby(batch["embedding"].map(len)):
-            planes = np.random.default_rng((SEED, size)).standard_normal((size, PASSES * BITS))
-            signs = (_matrix(part["embedding"]) @ planes >= 0).reshape(len(part), PASSES, BITS)
-            keys = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-            yield part[["uid", "label"]].assign(size=size, keys=list(keys))
+
+    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for size, part in batch.groupby(batch["embedding"].map(len)):
+                planes = np.random.default_rng((SEED, size)).standard_normal((size, passes * BITS))
+                signs = (_matrix(part["embedding"]) @ planes >= 0).reshape(len(part), passes, BITS)
+                keys = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                yield part[["uid", "label"]].assign(size=size, keys=list(keys))
+
+    return signed
 
 
 def _forest(links: np.ndarray) -> np.ndarray:
@@ -62,37 +75,97 @@ def _forest(links: np.ndarray) -> np.ndarray:
             return np.stack([nodes[least[hung]], nodes[hung]], axis=1)
 
 
+def _log_miss(keys: np.ndarray) -> np.ndarray:
+    """For vectors in a pass's order, the logarithm of the greatest chance that the pass misses a link of theirs.
+
+    A pair that shares more bits than the vector NEIGHBOURS places away is among the neighbours.
+    """
+    shared = np.full(len(keys), -1)
+    if len(keys) > NEIGHBOURS:
+        across = BITS - np.frexp((keys[NEIGHBOURS:] ^ keys[:-NEIGHBOURS]).astype(np.float64))[1]
+        shared[NEIGHBOURS:] = across
+        shared[:-NEIGHBOURS] = np.maximum(shared[:-NEIGHBOURS], across)
+    return np.log(np.maximum(1 - SAME ** (shared + 1.0), 1e-9))
+
+
 def _neighbours(group: pd.DataFrame) -> pd.DataFrame:
-    """What the linked pairs among the neighbours of one block hold together."""
+    """What the linked pairs among the neighbours of one block hold together, and the _log_miss of the block's own vectors."""
     group = group.sort_values("rank", ignore_index=True)
     lists = group.groupby(["pass", "label", "size"], sort=False).ngroup().to_numpy()
     nodes, again, links = group["node"].to_numpy(), group["again"].to_numpy(), [np.empty((0, 2), np.int64)]
+    keys, missed = group["key"].to_numpy(), np.zeros(len(group))
     for part in np.split(np.arange(len(lists)), np.flatnonzero(np.diff(lists)) + 1):
         m, own, fresh = _matrix(group["embedding"].iloc[part]), nodes[part], ~again[part]
+        missed[part] = _log_miss(keys[part])
         for d in range(1, min(NEIGHBOURS, len(part) - 1) + 1):
             near = (np.einsum("ij,ij->i", m[:-d], m[d:]) >= COSINE) & fresh[d:] & (own[:-d] != own[d:])
             links.append(np.stack([own[:-d][near], own[d:][near]], axis=1))
     found = _forest(np.concatenate(links))
+    links = pd.DataFrame({"a": found[:, 0], "b": found[:, 1]}, dtype="Int64")
+    return pd.concat([links, pd.DataFrame({"uid": group["uid"][~again].astype("Int64"), "missed": missed[~again]})])[["a", "b", "uid", "missed"]]
+
+
+def _crossed(group: pd.DataFrame) -> pd.DataFrame:
+    """What the linked pairs of the vectors of one block, or of two blocks, hold together."""
+    out = [np.empty((0, 2), np.int64)]
+    alone = bool(group["i"].iloc[0] == group["j"].iloc[0])
+    for _, g in group.groupby(["label", "size"]):
+        left = g if alone else g[g["part"] == g["i"]]
+        right = g if alone else g[g["part"] == g["j"]]
+        if not len(left) or not len(right):
+            continue
+        names, roots = np.unique(g["node"]), np.arange(g["node"].nunique())
+        at, to = np.searchsorted(names, left["node"]), np.searchsorted(names, right["node"])
+        l, m, links = _matrix(left["embedding"]), _matrix(right["embedding"]).T, np.empty((0, 2), np.int64)
+        for s in range(0, len(left), 256):
+            near = l[s : s + 256] @ m >= COSINE
+            near &= roots[at[s : s + 256]][:, None] != roots[to][None]  # what hangs together needs no more links
+            x, y = np.nonzero(near)
+            if len(x):
+                links = _forest(np.concatenate([links, np.stack([at[s + x], to[y]], axis=1)]))
+                roots[links[:, 1]] = links[:, 0]
+        out.append(names[links])
+    found = np.concatenate(out)
     return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
 
+def _crowded_links(distinct: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(a, b): what all pairs of crowded vectors (uid) of a label hold together, block against block as in _counted."""
+    members = distinct.join(crowded, "uid").select("label", F.size("embedding").alias("size"), "uid")
+    ranked = rank_globally(members, "label", "size", "uid").withColumn("part", F.floor(F.col("rank") / BLOCK)).drop("rank")
+    spans = ranked.groupBy("label", "size").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    met = F.transform(F.sequence("low", "high"), lambda x: F.struct(F.least("part", x).alias("i"), F.greatest("part", x).alias("j")))
+    places = ranked.join(spans, ["label", "size"]).select("uid", "size", "part", F.explode(met).alias("met"))
+    dealt = places.join(distinct.hint("merge"), "uid").select("label", "size", "uid", "node", "embedding", "part", "met.i", "met.j")
+    return dealt.groupBy("i", "j").applyInPandas(_crossed, "a long, b long")
+
+
 def component_links(distinct: DataFrame) -> DataFrame:
-    """(a, b): what the verified pairs of distinct vectors (uid, label, embedding, node) hold together, from all passes.
+    """(a, b): what the verified pairs of distinct vectors (uid, label, embedding, node) hold together.
 
     A pass orders the vectors of a label by the concatenation of its random hashes, of which near vectors share a long
     beginning; every vector is compared with the NEIGHBOURS after it. Passes are ordered together by one range exchange
     and cut into blocks of equal length by rank, so that no label, however large, makes a task larger than others; the
     last vectors of a block are sent to the next one too, so that no neighbours are missed at a cut. A block puts out a
     forest of its verified pairs, at most a link for each vector: a dense group would have NEIGHBOURS times as many.
+
+    Where many vectors share long beginnings without being links, the passes would miss links: how far a vector's
+    neighbours reach in each pass gives the chance of it, and vectors for which it is above MISSED are compared with all
+    others of that kind in their label. A link with one end that is not crowded is found from that end.
     """
     label = distinct.schema["label"].dataType.simpleString()
-    keyed = distinct.select("uid", "label", "embedding").mapInPandas(_signatures, f"uid long, label {label}, size int, keys array<long>")
+    largest = distinct.groupBy("label", F.size("embedding")).count().agg(F.max("count")).first()[0] or 0
+    keyed = distinct.select("uid", "label", "embedding").mapInPandas(_signatures(_passes(largest)), f"uid long, label {label}, size int, keys array<long>")
     ranked = rank_globally(keyed.select("uid", "label", "size", F.posexplode("keys").alias("pass", "key")), "pass", "label", "size", "key", "uid")
     block, late = F.floor(F.col("rank") / BLOCK), F.col("rank") % BLOCK >= BLOCK - NEIGHBOURS
     places = ranked.withColumn("block", F.explode(F.when(late, F.array(block, block + 1)).otherwise(F.array(block))))
     places = places.withColumn("again", block < F.col("block"))  # sent from the block before
     dealt = places.join(distinct.select("uid", "node", "embedding"), "uid")
-    return dealt.groupBy("block").applyInPandas(_neighbours, "a long, b long").distinct()
+    found = materialize(dealt.groupBy("block").applyInPandas(_neighbours, "a long, b long, uid long, missed double"), "neighbours")
+    missed = found.where("uid is not null").groupBy("uid").agg(F.sum("missed").alias("missed"))
+    crowded = materialize(missed.where(F.col("missed") > float(np.log(MISSED))).select("uid"), "crowded")
+    links = found.where("a is not null").select("a", "b")
+    return (links if crowded.isEmpty() else links.union(_crowded_links(distinct, crowded))).distinct()
 
 
 def _counts(group: pd.DataFrame) -> pd.DataFrame:
@@ -143,7 +216,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id") -> DataFrame:
     smallest id reachable over links, itself included; kept: it is the row's own. Rows that repeat an id are rows of
     their own; where their vectors differ, they are one node and share its links. Other columns are not read.
 
-    The passes find links between components with high probability only; within a component every link is counted.
+    The passes find a link between components with a chance of 1 - MISSED or more, except between crowded vectors, which are
+    all compared; within a component every link is counted.
     """
     rows = materialize(_prepared(vectors, id_col), "vectors")
     merged = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("id").alias("node"), F.count("*").alias("copies"))

@@ -80,3 +80,18 @@ def test_recall_on_clustered_vectors(spark, table):
     assert sum(got.values()) >= 0.95 * total
     found = sum(v > 0 for v in got.values())
     print(table, sum(got.values()), total, found)
+
+
+def test_links_in_a_dense_label_are_found(spark):
+    """Vectors about 0.95 alike are no links, but share long beginnings of their signatures; each planted pair is a link."""
+    rng, n, pairs = np.random.default_rng(8), 20_000, 200
+    unit = lambda m: m / np.linalg.norm(m, axis=1)[:, None]
+    spread = unit(rng.standard_normal((n, 64))) * np.sqrt(1 / 0.95 - 1)
+    m = unit(unit(rng.standard_normal((1, 64))) + spread)
+    m[n - pairs :] = unit(m[:pairs] + unit(rng.standard_normal((pairs, 64))) * 0.185)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(m)], "vec_id long, embedding array<float>, label int").repartition(8)
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df).collect()}
+    links = np.concatenate([(m[s : s + 1000].astype(np.float32) @ m.T.astype(np.float32) >= 0.98).sum(axis=1) - 1 for s in range(0, n, 1000)])
+    print(sum(got.values()), links.sum())
+    assert links.sum() >= pairs
+    assert sum(got.values()) >= 0.9 * links.sum()
