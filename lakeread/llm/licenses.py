@@ -64,19 +64,35 @@ def normalise(sentence: Column) -> Column:
 
 
 def recognise(docs: DataFrame, sentences: dict[str, str] = SENTENCES) -> DataFrame:
-    """(doc_id, text_key, at, id): the known sentences of each document, by their place among its sentences.
+    """(doc_id, text_key, at, id): the known sentences of each document, by the place of their first piece.
 
-    The table of known sentences is a parameter of a fixed size, so it is broadcast. Only pieces that begin with the
-    first word of a known sentence are normalised; no other can be one.
+    A sentence is one piece, or is wrapped over pieces that follow one another; these may be indented or begin with the
+    signs of a comment, which normalise() drops, but none between them may be blank. Of the sentences that begin at one
+    place the longest counts. The table of known sentences is a parameter of a fixed size, so it is broadcast. Only
+    pieces that a known sentence begins with are taken out of a text, with what follows, as far as the longest may reach.
     """
     spark = docs.sparkSession
-    known = F.broadcast(spark.createDataFrame(list(sentences.items()), "id string, sentence string"))
-    pieces = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.posexplode(sentences_of(F.col("text"))).alias("at", "piece")
-    )
-    first_words = "|".join(sorted({s.split(" ")[0] for s in sentences.values()}))
-    likely = pieces.where(F.col("piece").rlike(rf"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*(?i:{first_words})"))
-    return likely.withColumn("sentence", normalise(F.col("piece"))).join(known, "sentence").select("doc_id", "text_key", "at", "id")
+    split = [(k, s.split(" ")) for k, s in sentences.items()]
+    begins = [(k, " ".join(w[:n]), " ".join(w[n:]), len(w)) for k, w in split for n in range(1, len(w) + 1)]
+    known = F.broadcast(spark.createDataFrame(begins, "id string, piece string, rest string, n_words int"))
+    first, longest, most = sorted({x[1] for x in begins}), max(map(len, sentences.values())), max(len(w) for _, w in split)
+
+    def begin(pieces: Column) -> Column:
+        """(at, piece, ahead) of each piece that a known sentence begins with."""
+        ahead = lambda i: F.left(F.array_join(F.transform(F.slice(pieces, i + 2, most), lambda x: F.left(x, F.lit(longest + 1))), "\n"), F.lit(longest + 1))
+        found = lambda x, i: F.when(x.isin(first), F.struct(i.alias("at"), x.alias("piece"), ahead(i).alias("ahead")))
+        return F.filter(F.transform(pieces, found), lambda x: x.isNotNull())
+
+    # Pieces are bound to a name by the outer transform, else they would be made again for each of them.
+    pieces = F.transform(sentences_of(F.col("text")), normalise)
+    likely = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+        F.explode(F.element_at(F.transform(F.array(pieces), begin), 1)).alias("one"),
+    ).select("doc_id", "text_key", "one.*")
+    size = F.length("rest")
+    wrapped = (F.translate(F.substring("ahead", F.lit(1), size), "\n", " ") == F.col("rest")) & F.substring("ahead", size + 1, F.lit(1)).isin("", "\n")
+    matched = likely.join(known, "piece").where((F.col("rest") == "") | wrapped)
+    return matched.groupBy("doc_id", "text_key", "at").agg(F.max_by("id", "n_words").alias("id"))
 
 
 def detect(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[str, tuple[str, list[str]]] = RULES) -> DataFrame:
@@ -85,7 +101,7 @@ def detect(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[s
     Places count all sentences of the text from 0. Sentences that are not known may stand between a rule's sentences;
     known ones of other identifiers may not. Null, empty and blank texts have no known sentences. Repeated rows with the
     same text are reported once; a null doc_id is reported as null. Sentences are normalised before they are compared, so
-    capitals, punctuation and blanks don't matter. A match of a rule that is the beginning of a longer match at the same
+    capitals, punctuation, blanks and line ends inside of them don't matter; a wrapped one counts at its first line. A match of a rule that is the beginning of a longer match at the same
     place is left out. Other columns are not read.
 
     Only recognised sentences are shuffled; a document's list of them is at most as long as its text, however many

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import defaultdict
 
 import pytest
@@ -120,6 +121,43 @@ def test_licences(spark):
     assert licenses.detect(df.limit(0)).collect() == []
 
 
+def test_wrapped_and_commented_licences(spark):
+    apache = """# Copyright 2020 Somebody
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+    gpl = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+ * GNU General Public License for more details.
+ */"""
+    bsd = [licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary")]
+    wrap = lambda text, prefix: "\n".join(prefix + x for x in textwrap.wrap(text, 40))
+    mit = "\n\n".join(wrap(licenses.SENTENCES[k] + ".", "// ") for k in ("mit-grant", "mit-keep", "mit-as-is"))
+    docs = [
+        (1, apache), (2, gpl), (3, mit), (4, bsd[0] + ":\n" + "\n".join(f"{i}. {wrap(s, '   ')}." for i, s in enumerate(bsd[1:], 1))),
+        (5, "Notes\r\nReleased under\r\nthe MIT License\r\nby us."), (6, "Released\nunder\nthe\nMIT\nLicense"),
+        (7, "Released under\n\nthe MIT License."), (8, "Released under\nthe MIT Licenses."), (9, "Released under\nthe MIT License too."), (10, mit.replace("\n", "\n\n")),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"], r["rule"], r["first_sentence"]) for r in licenses.detect(df).collect())
+    want = [(1, "apache-header", 1), (2, "gpl-3-or-later-header", 1), (3, "mit-text", 0), (4, "bsd-2-text", 0), (5, "mit-by-notice", 1), (6, "mit-by-notice", 0)]
+    assert got == want
+
+
 def test_every_rule_uses_known_sentences_in_normal_form(spark):
     assert {i for _, ids in licenses.RULES.values() for i in ids} <= set(licenses.SENTENCES)
     df = spark.createDataFrame(list(licenses.SENTENCES.items()), "id string, s string")
