@@ -36,8 +36,8 @@ SENTENCES = {
     "rights-reserved": "all rights reserved",
 }
 
-#: Rule -> (licence, identifiers that follow one another).
-RULES = {
+#: Rule -> (licence, identifiers that follow one another). These grant something.
+GRANTS = {
     "mit-by-notice": ("MIT", ["mit-notice"]),
     "mit-by-project-notice": ("MIT", ["mit-notice-2"]),
     "mit-text": ("MIT", ["mit-grant", "mit-keep", "mit-as-is"]),
@@ -52,6 +52,9 @@ RULES = {
     "bsd-2-text": ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
 }
 
+#: Those and the line that grants nothing.
+RULES = GRANTS | {"all-rights-reserved": ("proprietary", ["rights-reserved"])}
+
 
 def sentences_of(text: Column) -> Column:
     """Pieces between line ends, and between blanks after a full stop, exclamation or question mark."""
@@ -95,11 +98,11 @@ def recognise(docs: DataFrame, sentences: dict[str, str] = SENTENCES) -> DataFra
     return matched.groupBy("doc_id", "text_key", "at").agg(F.max_by("id", "n_words").alias("id"))
 
 
-def detect(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[str, tuple[str, list[str]]] = RULES) -> DataFrame:
+def detect(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[str, tuple[str, list[str]]] = GRANTS) -> DataFrame:
     """(doc_id, rule, license, first_sentence, last_sentence): every place where a rule's sentences follow one another.
 
     Places count all sentences of the text from 0. Sentences that are not known may stand between a rule's sentences;
-    known ones of other identifiers may not. Null, empty and blank texts have no known sentences. Repeated rows with the
+    known ones of other identifiers may not. Without `rules` only licences that grant something are reported. Null, empty and blank texts have no known sentences. Repeated rows with the
     same text are reported once; a null doc_id is reported as null. Sentences are normalised before they are compared, so
     capitals, punctuation, blanks and line ends inside of them don't matter; a wrapped one counts at its first line. A match of a rule that is the beginning of a longer match at the same
     place is left out. Other columns are not read.

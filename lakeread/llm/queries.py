@@ -53,7 +53,7 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.detect(_table(spark, sf_dir, "documents"))
+    return licenses.detect(_table(spark, sf_dir, "documents"), rules=licenses.RULES)
 
 
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import textwrap
 from collections import defaultdict
 
 import pytest
-from lakeread.llm import decontaminate, licenses, mixing, revisits
+from lakeread.llm import decontaminate, licenses, mixing, queries, revisits
 
 
 def words(text):
@@ -164,6 +164,15 @@ def test_every_rule_uses_known_sentences_in_normal_form(spark):
     assert df.where(licenses.normalise(df["s"]) != df["s"]).count() == 0
 
 
+def test_every_known_sentence_is_used_by_a_rule(spark, tmp_path):
+    assert set(licenses.SENTENCES) == {i for _, ids in licenses.RULES.values() for i in ids}
+    docs = [(1, "Copyright 2020 Somebody.\nAll rights reserved."), (2, "Released under the MIT License. All rights reserved."), (3, "All rights.")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["doc_id"], r["rule"], r["license"], r["first_sentence"]) for r in queries.op5_license_scan(spark, str(tmp_path)).collect())
+    reserved = ("all-rights-reserved", "proprietary", 1)
+    assert got == [(1, *reserved), (2, *reserved), (2, "mit-by-notice", "MIT", 0)]
+
+
 def canonical(url):
     rest = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://", "", url).split("#")[0]
     address, _, query = rest.partition("?")
