@@ -65,6 +65,12 @@ def op7_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
 
+def op7_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigrams, and n-grams seen once count as well; op7_language_model_scores is held to the bigrams of its SQL."""
+    found = language_model.scores(_table(spark, sf_dir, "documents"), order=3, min_count=1)
+    return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op5_license_scan": op5_license_scan,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_language_model_scores": op7_language_model_scores,
+    "op7_trigram_scores": op7_trigram_scores,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,

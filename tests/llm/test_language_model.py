@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from lakeread.llm import language_model as lm
+from lakeread.llm import queries
 
 
 def brute(docs, order, backoff=0.4, least=2):
@@ -33,5 +34,13 @@ def test_scores_match_brute_force(spark, order):
     assert all((r["mean_log_score"] is None) == (r["n_tokens"] == 0) for r in got)
 
 
+def test_a_query_scores_all_trigrams(spark, tmp_path):
+    rnd = random.Random(9)
+    docs = [(i, " ".join(f"w{rnd.randrange(12)}" for _ in range(30))) for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["log_score"] for r in queries.QUERIES["op7_trigram_scores"](spark, str(tmp_path)).collect()}
+    assert {i: pytest.approx(score, abs=1e-4) for i, _, score in brute(docs, 3, least=1)} == {(i or -1): s for i, s in got.items()}
+
+
 def test_no_documents(spark):
     assert lm.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
