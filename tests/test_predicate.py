@@ -2,10 +2,12 @@
 
 import datetime as dt
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from lakeread.functions.types import parse_ddl
 from lakeread.operators.predicate import Untranslatable, parse
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType(
@@ -90,6 +92,47 @@ def test_filters_keep_what_sql_keeps(rows, text, sql):
     assert kept(rows.where(found.condition)) == kept(rows.where(sql)) and not found.dropped
 
 
+OPS = {"equals": "__eq__", "notEquals": "__ne__", "less": "__lt__", "lessOrEquals": "__le__", "greater": "__gt__", "greaterOrEquals": "__ge__"}
+EXACT = {
+    "tinyint": [None, -128, -1, 0, 1, 2, 3, 127], "smallint": [None, -32768, 2, 3, 32767], "int": [None, -(2**31), 0, 2, 3, 2**31 - 1],
+    "bigint": [None, -(2**63), 2, 3, 2**53 + 1, 2**63 - 1], "decimal(5,2)": [None, Decimal("-999.99"), Decimal("1.25"), Decimal("2.50"), Decimal("999.99")],
+    "decimal(38,10)": [None, Decimal("2.5"), Decimal("9" * 28 + ".9999999999")],
+}
+LITERALS = {
+    "Float64_2.5": 2.5, "Float64_2": 2, "Float64_-0.5": -0.5, "Float64_1e300": 1e300, "Int64_9999999999": 9999999999, "UInt64_127": 127, "Int64_-128": -128,
+    "UInt256_" + "9" * 60: int("9" * 60), "+Inf": INF, "-Inf": -INF, "Decimal64_'2.5'": Decimal("2.5"), "Decimal64_'1.254'": Decimal("1.254"), "Decimal32_'-999.991'": Decimal("-999.991"),
+    "UInt64_9007199254740993": 2**53 + 1, "Decimal128_'1000'": 1000,
+}
+
+
+@pytest.mark.parametrize("declared", EXACT)
+def test_numbers_are_compared_by_value(spark, declared):
+    """Every comparison of every literal, over each exact type, against Python's exact numbers."""
+    values = EXACT[declared]
+    schema = T.StructType([parse_ddl(f"nullable({declared})").field("x")])
+    rows = spark.createDataFrame([(v,) for v in values], schema)
+    names, conditions, want = [], [], []
+    for text, number in LITERALS.items():
+        for op, method in OPS.items():
+            names.append((op, text))
+            conditions.append(parse(call(op, col("x"), lit(text)), schema, strict=True).condition)
+            want.append([v for v in values if v is not None and getattr(Fraction(v), method)(number if isinstance(number, float) else Fraction(number))])
+        for op, keep in (("in", True), ("notIn", False)):
+            names.append((op, text))
+            conditions.append(parse(call(op, col("x"), call("tuple", lit(text), lit("Int64_3"))), schema, strict=True).condition)
+            want.append([v for v in values if v is not None and (v in (number, 3)) == keep])
+    got = rows.select("x", *(F.coalesce(c, F.lit(False)).alias(f"c{i}") for i, c in enumerate(conditions))).collect()
+    for i, name in enumerate(names):
+        assert [r["x"] for r in got if r[f"c{i}"]] == want[i], name
+
+
+def test_numbers_out_of_range_still_reach_the_scan(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    for op, text, pushed in (("less", "Float64_2.5", "LessThanOrEqual(p_size,2)"), ("greater", "Decimal64_'49.5'", "GreaterThanOrEqual(p_size,50)"), ("notEquals", "Int64_9999999999", "IsNotNull(p_size)")):
+        found = parse(call(op, col("p_size"), lit(text)), table.schema, strict=True)
+        assert pushed in table.where(found.condition)._jdf.queryExecution().executedPlan().toString()
+
+
 LIKE = call("like", col("col_varchar"), lit("'%he%'"))
 TEN, WORLD = call("equals", col("col_int"), lit("Int64_10")), call("notEquals", col("col_varchar"), lit("'world'"))
 
@@ -123,6 +166,10 @@ def test_only_the_outermost_and_is_lenient(rows, text, sql, dropped):
         call("like", col("col_varchar"), lit("'a%b%'")), call("like", col("col_varchar"), lit("'%hello'")), call("like", col("col_int"), lit("'1%'")),
         call("equals", col("col_date"), lit("'01.02.2024'")), call("equals", col("col_timestamp"), lit("'2024-01-01 00:00:00'")),
         call("equals", col("col_int"), lit("'1'")), call("equals", col("col_int"), lit("Int64_x")), call("cast", lit("1"), lit("'Date'")),
+        call("equals", col("col_int"), lit("Float64_abc")), call("equals", col("col_int"), lit("Decimal64_'1.2.3'")), call("equals", col("col_date"), lit("Int64_5")),
+        call("equals", col("col_date"), lit("'2024-02-31'")), call("equals", col("col_seconds"), lit("'2024-01-01 25:00:00'")),
+        call("equals", col("col_date"), call("cast", lit("Decimal64_'1.5'"), lit("'Date'"))), call("equals", col("col_date"), call("cast", lit("Int64_99999999999"), lit("'Date32'"))),
+        call("less", col("col_timestamp"), call("cast", lit("UInt64_999999999999999999"), lit("'DateTime'"))), call("equals", col("col_boolean"), lit("Float64_1")),
         call("equals", col("col_date"), call("cast", lit("Int64_1"), lit("'Decimal'"))), "@function(and,2)" + TEN, TEN + TEN, "", "col_int = 1", "@function(equals)",
     ],
 )
