@@ -17,6 +17,7 @@ from .sources.load import read_csv
 from .sources.populate import populate
 
 CATALOG_VARIABLE = "LAKEREAD_CATALOG"
+PAGE = 64  # rows that are shown at once on a terminal
 
 
 def _content(text: str) -> str:
@@ -109,7 +110,10 @@ def show_data(catalog: Catalog, arg: str) -> None:
         print(f"Table '{m[1]}.{m[2]}' does not exist.")
         return
     names = [c.strip() for c in (m[3] or "").split(",") if c.strip()]
-    for line in show.lines(catalog.read(m[1], m[2]), names):
+    paged = sys.stdin.isatty() and sys.stdout.isatty()
+    for n, line in enumerate(show.lines(catalog.read(m[1], m[2]), names, PAGE if paged else 0)):
+        if paged and n and n % (PAGE + 1) == 0:
+            input("Press enter to continue...")
         print(line)
 
 
@@ -124,7 +128,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser = argparse.ArgumentParser(prog="lakeread", description=__doc__)
     parser.add_argument("--catalog", help=f"catalog parameters as JSON or a file of it; else the variable {CATALOG_VARIABLE}")
     parser.add_argument("--action", help="one of " + ", ".join(ACTIONS))
-    parser.add_argument("--arg", default="", help="the action's argument, as text or a file")
+    parser.add_argument("--arg", help="the action's argument, as text or a file; all actions but SHOW_DATABASES need it")
     parser.add_argument("--verbose", action="store_true", help="show the stack of an error")
     given = parser.parse_args(argv)
     params = given.catalog or os.environ.get(CATALOG_VARIABLE)
@@ -132,7 +136,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     wrong = (
         f"--catalog is mandatory if env variable '{CATALOG_VARIABLE}' is not set." if not params
         else "Please use --action to specify action." if not given.action
-        else None if action else "Wrong action type."
+        else "Wrong action type." if not action
+        else f"--arg is mandatory if you use --action '{given.action.upper()}'" if given.arg is None and action is not show_databases
+        else None
     )
     if wrong:
         print(wrong)
@@ -140,7 +146,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         return
     try:
         conf = connection_conf(_content(params))
-        action(Catalog(spark or SparkSession.builder.config(map=conf).getOrCreate()), _content(given.arg))
+        action(Catalog(spark or SparkSession.builder.config(map=conf).getOrCreate()), _content(given.arg or ""))
     except Exception as e:
         traceback.print_exc() if given.verbose else print(e, file=sys.stderr)
 

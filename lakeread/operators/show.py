@@ -40,8 +40,15 @@ def rendered(df: DataFrame, names: Iterable[str] = ()) -> DataFrame:
     return df.select(F.concat_ws(", ", *cells).alias("line"))
 
 
-def lines(df: DataFrame, names: Iterable[str] = ()) -> Iterator[str]:
-    """A line of the columns' names, then the rows, numbered from 1; they come to the driver one partition at a time."""
-    yield ", ".join(chosen(df, names))
+def lines(df: DataFrame, names: Iterable[str] = (), page: int = 0) -> Iterator[str]:
+    """A line of the columns' names, then the rows, numbered from 1; they come to the driver one partition at a time.
+
+    With page the line of names comes again after every so many rows, before the next.
+    """
+    names = list(names)
+    header = ", ".join(chosen(df, names))
+    yield header
     for i, row in enumerate(rendered(df, names).toLocalIterator(), 1):
+        if page and i > 1 and i % page == 1 % page:
+            yield header
         yield f"{i}: {row['line']}"

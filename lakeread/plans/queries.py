@@ -14,7 +14,7 @@ from ..operators import batches, merge, show
 from ..operators.predicate import parse
 from ..operators.select import select
 from ..sources import populate as generators
-from ..sources import scan
+from ..sources import scan, slices
 from ..sources.catalog import Catalog, TableSchema, schema_rows
 from ..sources.load import read_csv
 from ..workspace import new_path
@@ -89,6 +89,21 @@ PREDICATES: dict[str, tuple[str, tuple[str, ...], str, str]] = {
         "@function(less,2)@identifier(ts)@function(cast,2)@literal(UInt64_1705276800000)@literal('DateTime64(3)')",
         "ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-15'",
     ),
+    "pred_fractional_on_int": (
+        "part", ("p_partkey", "p_size"),
+        "@function(or,4)@function(and,2)" + _cmp("greater", "p_size", "Float64_2.5") + _cmp("less", "p_size", "Decimal64_'4.5'")
+        + "@function(and,2)" + _cmp("greaterOrEquals", "p_size", "Float64_9.5") + _cmp("lessOrEquals", "p_size", "Float64_12.5")
+        + _cmp("equals", "p_size", "Float64_2.5")
+        + "@function(and,2)@function(in,2)@identifier(p_size)@function(tuple,3)@literal(Float64_20.5)@literal(Float64_21)@literal(Int64_22)" + _cmp("notEquals", "p_size", "Float64_0.5"),
+        "(p_size > 2.5 AND p_size < 4.5) OR (p_size >= 9.5 AND p_size <= 12.5) OR p_size = 2.5 OR (p_size IN (20.5, 21, 22) AND p_size <> 0.5)",
+    ),
+    "pred_out_of_range": (
+        "part", ("p_partkey", "p_size"),
+        "@function(and,4)" + _cmp("less", "p_size", "Int64_9999999999") + _cmp("greater", "p_size", "-Inf") + _cmp("notEquals", "p_size", "UInt128_99999999999999999999")
+        + "@function(or,3)" + _cmp("equals", "p_size", "Int64_-3000000000") + _cmp("greaterOrEquals", "p_size", "+Inf")
+        + "@function(notIn,2)@identifier(p_size)@function(tuple,2)@literal(Int64_9999999999)@literal(Int64_7)",
+        "p_size < 9999999999 AND p_size <> 99999999999999999999 AND (p_size = -3000000000 OR p_size NOT IN (9999999999, 7))",
+    ),
     "pred_literal_types": (
         "orders", _ORDER,
         "@function(or,4)" + _cmp("equals", "o_orderkey", "UInt128_77") + _cmp("less", "o_totalprice", "-Inf")
@@ -133,6 +148,19 @@ def pred_string_to_date(spark: SparkSession, sf: str) -> DataFrame:
     return scan.Scan(_dated(spark, sf), filter="@function(and,2)" + _cmp("greaterOrEquals", "day", "'1996-01-01'") + _cmp("lessOrEquals", "day", "'19961231'")).df()
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_tax::DECIMAL(5, 2)::VARCHAR AS tax FROM lineitem WHERE l_tax::DECIMAL(5, 2) > 0.0254
+      AND l_tax::DECIMAL(5, 2) <= 0.0699 AND l_tax::DECIMAL(5, 2) <> 0.041 OR l_tax::DECIMAL(5, 2) IN (0.01, 0.001) OR l_tax::DECIMAL(5, 2) > 1000.5""")
+def pred_decimal_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """Literals with more decimal places, and of greater numbers, than the column's type holds."""
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_tax").cast("decimal(5,2)").alias("tax"))
+    text = (
+        "@function(or,3)@function(and,3)" + _cmp("greater", "tax", "Decimal64_'0.0254'") + _cmp("lessOrEquals", "tax", "Decimal64_'0.0699'") + _cmp("notEquals", "tax", "Float64_0.041")
+        + "@function(in,2)@identifier(tax)@function(tuple,2)@literal(Decimal32_'0.01')@literal(Decimal32_'0.001')" + _cmp("greater", "tax", "Decimal128_'1000.5'")
+    )
+    return scan.Scan(rows, filter=text, complete=True).df().withColumn("tax", F.col("tax").cast("string"))
+
+
 # Scans and projections.
 
 FLAGSHIP = (
@@ -155,9 +183,13 @@ def scan_plan_files(spark: SparkSession, sf: str) -> DataFrame:
     return scan.Scan(_t(spark, sf, "lineitem"), filter=FLAGSHIP).files(matching=True).agg(F.sum("rows").alias("rows"))
 
 
-@query()
+@query("SELECT 'parquet' AS format, count(*) AS rows, true AS whole FROM lineitem")
 def scan_raw_files(spark: SparkSession, sf: str) -> DataFrame:
-    return scan.Scan(_t(spark, sf, "lineitem")).raw_files()
+    """What the descriptors of all file parts say together: their rows, and that the parts of each file are all of it."""
+    told = F.from_json("descriptor", "path string, size long, offset long, length long, format string, rows long")
+    parts = scan.Scan(_t(spark, sf, "lineitem")).raw_files().select(told.alias("d")).select("d.*")
+    files = parts.groupBy("path", "size", "format").agg(F.sum("rows").alias("rows"), (F.sum("length") <= F.col("size")).alias("whole"))
+    return files.groupBy("format").agg(F.sum("rows").alias("rows"), F.bool_and("whole").alias("whole"))
 
 
 _SPLITS = [
@@ -179,11 +211,6 @@ def split_classify(spark: SparkSession, sf: str) -> DataFrame:
     return splits.select("split", scan.native(splits).alias("native"))
 
 
-@query("SELECT o_orderstatus, o_orderpriority, count(*) AS rows FROM orders GROUP BY ALL")
-def split_by_partition(spark: SparkSession, sf: str) -> DataFrame:
-    return scan.rows_by_partition(_t(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
-
-
 @query("SELECT l_shipdate, l_orderkey, l_returnflag FROM lineitem")
 def proj_columns(spark: SparkSession, sf: str) -> DataFrame:
     return select(_t(spark, sf, "lineitem"), ["l_shipdate", "l_orderkey", "l_returnflag"])
@@ -288,6 +315,36 @@ def mor_file_slices(spark: SparkSession, sf: str) -> DataFrame:
     return merge.file_slices(files, "020").withColumn("logs", F.array_join("logs", ","))
 
 
+@query(_LATEST.format(where="ts < TIMESTAMP '2024-01-25'", alive="event_type <> 'error'"))
+def mor_snapshot_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written as base files and logs of file slices in two partitions, listed, sliced and merged.
+
+    The second base file of a slice holds what the first and its log gave; a log of an instant that is not completed, and
+    a base file that no completed instant wrote, are not seen.
+    """
+    table = new_path(spark, "slices")
+    events = _t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    until = lambda day, rows: rows.where(F.col("ts") < F.expr(f"timestamp_ntz'2024-01-{day}'"))
+    since = lambda day, rows: rows.where(F.col("ts") >= F.expr(f"timestamp_ntz'2024-01-{day}'"))
+    marked = lambda rows, instant: rows.withColumn(slices.COMMIT_TIME, F.lit(instant))
+    for part in (0, 1):
+        own = events.where(F.col("user_id") % 2 == part)
+        merged = lambda day, rows=own: merge.latest_by_key(until(day, rows), ["user_id"], ["ts", "event_id"])
+        slices.write_file(marked(merged("08"), "001"), f"{table}/p={part}/g{part}_0_001.parquet")
+        slices.write_file(marked(since("08", until("15", own)), "002"), f"{table}/p={part}/g{part}_001.log.1_0")
+        slices.write_file(marked(merged("15"), "003"), f"{table}/p={part}/g{part}_0_003.parquet")
+        slices.write_file(marked(since("15", until("20", own)), "004"), f"{table}/p={part}/g{part}_003.log.1_0")
+        slices.write_file(marked(since("20", until("25", own)), "005"), f"{table}/p={part}/g{part}_003.log.2_0")
+        slices.write_file(marked(since("25", own), "006"), f"{table}/p={part}/g{part}_003.log.3_0")
+        slices.write_file(marked(own.limit(1), "007"), f"{table}/p={part}/g{part}_0_007.parquet")
+    for instant, action in (("001", "commit"), ("002", "deltacommit"), ("003", "commit"), ("004", "deltacommit"), ("005", "deltacommit")):
+        slices.write_instant(spark, table, instant, action, "requested")
+        slices.write_instant(spark, table, instant, action)
+    slices.write_instant(spark, table, "006", "deltacommit", "inflight")
+    found = slices.read_snapshot(spark, table, ["user_id"], "ts", F.col("event_type") == "error")
+    return found.select("user_id", "event_id", "ts", "event_type", "value")
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1""")
@@ -379,6 +436,30 @@ def meta_partitions_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return _partitioned(spark, sf).partitions_by_filter("lakeread_meta", "by_status", text, 3)
 
 
+@query("""
+    SELECT *, (row_number() OVER (ORDER BY o_orderstatus, o_orderpriority) - 1)::INT AS partition_index
+    FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS rows FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY ALL)""")
+def split_files_by_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """The file parts of a table's partitions, summed up: each partition's rows by what its parts say."""
+    parts = _partitioned(spark, sf).splits("lakeread_meta", "by_status", _cmp("notEquals", "o_orderpriority", "'5-LOW'"))
+    return parts.groupBy("partition_index", "o_orderstatus", "o_orderpriority").agg(F.sum("rows").alias("rows"))
+
+
+@query("""
+    SELECT o_custkey, o_orderkey, o_totalprice FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, (o_orderkey % 3 = 0)::INT DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1""")
+def keyed_table_two_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's last order, from a table keyed by customer: by date, then by write, then by place in the write."""
+    catalog = _database(spark, sf)
+    fields = [("o_custkey", "bigint"), ("o_orderkey", "bigint"), ("o_totalprice", "double"), ("o_orderdate", "timestamp(6)")]
+    catalog.create_table("lakeread_meta", "last_orders", TableSchema(fields, ["o_custkey"], [], {"sequence.field": "o_orderdate"}))
+    rows = _t(spark, sf, "orders").select(*(n for n, _ in fields)).orderBy("o_orderkey")
+    late = F.col("o_orderkey") % 3 == 0
+    for some in (rows.where(~late), rows.where(late)):
+        catalog.write("lakeread_meta", "last_orders", some)
+    return catalog.read("lakeread_meta", "last_orders").select("o_custkey", "o_orderkey", "o_totalprice")
+
+
 # Types, loading, display, sinks.
 
 _TYPES = {
@@ -432,18 +513,30 @@ def show_data_render(spark: SparkSession, sf: str) -> DataFrame:
     return show.rendered(rows, ["keys", "o_orderdate", "o_orderpriority", "o_custkey", "o_orderkey", "unknown"])
 
 
-@query("SELECT (o_custkey % 16)::BIGINT AS bucket, count(*) AS rows, count(DISTINCT o_custkey) AS keys FROM orders GROUP BY ALL")
+@query("SELECT count(*) AS rows, count(DISTINCT o_custkey) AS keys, 16::BIGINT AS buckets, 0::BIGINT AS parted FROM orders")
 def bucket_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return _t(spark, sf, "orders").groupBy(F.pmod("o_custkey", F.lit(16)).alias("bucket")).agg(F.count("*").alias("rows"), F.countDistinct("o_custkey").alias("keys"))
+    """Orders written to a table of 16 buckets: rows, keys, buckets that hold rows, and keys in more than one of them."""
+    catalog = _database(spark, sf)
+    fields = [("o_custkey", "bigint"), ("o_orderkey", "bigint"), ("o_totalprice", "double")]
+    catalog.create_table("lakeread_meta", "bucketed", TableSchema(fields, ["o_custkey"]), buckets=16)
+    catalog.write("lakeread_meta", "bucketed", _t(spark, sf, "orders").select(*(n for n, _ in fields)))
+    keys = catalog.bucket_rows("lakeread_meta", "bucketed").groupBy("o_custkey").agg(F.count("*").alias("rows"), F.min("bucket").alias("low"), F.max("bucket").alias("high"))
+    return keys.agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("keys"), F.countDistinct("low").alias("buckets"), F.count_if(F.col("low") < F.col("high")).alias("parted")
+    )
+
 
+_NULL_RATE = "SELECT unnest([{names}]) AS name, 4096::BIGINT AS rows, true AS near_a_tenth_null"
 
-@query()
+
+@query(_NULL_RATE.format(names=", ".join(f"'c{i}'" for i in range(len(_TYPES)))))
 def populate_types(spark: SparkSession, sf: str) -> DataFrame:
-    """Generated rows of many types; random, so that only their number can be held against something."""
+    """Generated rows of many types: how many of each column, and whether about a tenth of them are null."""
     kinds = {f"c{i}": k if k.startswith("nullable") else f"nullable({k})" for i, k in enumerate(_TYPES)}
-    schema = TableSchema(list(kinds.items())).spark()
-    made = generators.populate(spark, schema, 4096)
-    return made.select(*(F.to_json(F.struct(c)).alias(c) for c in made.columns))
+    made = generators.populate(spark, TableSchema(list(kinds.items())).spark(), 4096)
+    counts = made.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in made.columns), F.count("*").alias("rows"))
+    nulls = counts.select("rows", F.explode(F.create_map(*(x for c in made.columns for x in (F.lit(c), F.col(c))))).alias("name", "nulls"))
+    return nulls.select("name", "rows", (F.col("nulls") / F.col("rows")).between(0.07, 0.13).alias("near_a_tenth_null"))
 
 
 @query("SELECT (range // 512)::BIGINT AS batch, range::INT AS ints, 'row-' || range AS strs FROM range(2048)")
@@ -458,11 +551,14 @@ def format_orc_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return scan.read(spark, path, "orc")
 
 
-@query("""
-    SELECT l_returnflag, (n // 4096)::BIGINT AS batch, count(*) AS rows FROM (
-      SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag) - 1 AS n FROM lineitem) GROUP BY ALL""")
+@query("SELECT count(*) AS rows, 4096::BIGINT AS largest, true AS filled FROM lineitem")
 def arrow_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.batch_sizes(_t(spark, sf, "lineitem"), ["l_orderkey"], ["l_returnflag"], 4096)
+    """Batches as arrow_batches() gives them: all rows, none over 4,096, and no more that are not full than partitions."""
+    table = _t(spark, sf, "lineitem")
+    sizes = batches.batch_sizes(table, 4096).groupBy(F.spark_partition_id().alias("partition")).agg(
+        F.sum("rows").alias("rows"), F.max("rows").alias("largest"), F.count_if(F.col("rows") < 4096).alias("short")
+    )
+    return sizes.agg(F.sum("rows").alias("rows"), F.max("largest").alias("largest"), (F.max("short") <= 1).alias("filled"))
 
 
 # Conversions.
@@ -489,7 +585,7 @@ def conv_decimal_rescale(spark: SparkSession, sf: str) -> DataFrame:
     return _t(spark, sf, "orders").select("o_orderkey", conv.rescale(price, 18, 6).cast("string").alias("price"))
 
 
-@query()
+@query("SELECT 'only prefixes can be pushed: %a%' AS dropped")
 def pred_dropped_conjuncts(spark: SparkSession, sf: str) -> DataFrame:
     """What the lenient filter of pred_and_failover left out."""
     found = parse(PREDICATES["pred_and_failover"][2], _t(spark, sf, "part").schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +13,12 @@ from ..functions.types import LogicalType, parse_ddl, physical_of
 from ..operators.merge import latest_by_key
 from ..operators.predicate import parse
 from .base import TableSource
+from .scan import Scan
 
 DECLARED = "lakeread.declared"  # table property with what Spark's own schema can't hold
 FILLER = "_lakeread_filler"  # stored column of tables that have partition keys only, which Spark doesn't allow
+COMMIT, PLACE = "_lakeread_commit", "_lakeread_place"  # stored columns of tables with primary keys: a row's write, and its place in that
+COMMITS = "lakeread.commits"  # table property: how many writes were begun
 
 #: Parameters that a store must have.
 S3_REQUIRED = ["endpoint", "accessKey", "secretKey"]
@@ -128,7 +131,8 @@ class Catalog(TableSource):
         """Fields, keys and options are kept as declared in a property: files neither hold NOT NULL nor lengths.
 
         With buckets and primary keys the rows of a key go to one of so many files; the option file.compression is the
-        files' codec. All columns may be partition keys.
+        files' codec; sequence.field names a column by which the last row of a key is told before the order of writing. All
+        columns may be partition keys.
         """
         if not self.database_exists(database):
             raise ValueError(f"Database '{database}' not exists.")
@@ -138,6 +142,8 @@ class Catalog(TableSource):
         if unknown := [k for k in (*schema.primary_keys, *schema.partition_keys) if k not in names]:
             raise ValueError(f"no column for the keys {unknown}")
         columns = ", ".join(f"{_quoted(n)} {t.spark().simpleString()}" for n, t in schema.logical())
+        if schema.primary_keys:
+            columns += f", {COMMIT} bigint, {PLACE} bigint"
         if set(names) == set(schema.partition_keys):
             columns += f", {FILLER} tinyint"
         sql = f"CREATE TABLE {self.table(database, table)} ({columns}) USING {file_format}"
@@ -172,25 +178,58 @@ class Catalog(TableSource):
     def read(self, database: str, table: str, merged: bool = True) -> DataFrame:
         """The table with its declared types as column metadata, columns in declared order.
 
-        Of a table with primary keys the last written row of each key, unless merged is False: that of the latest file,
-        and in a file the last. It takes one exchange, on the keys, for partial results.
+        Of a table with primary keys the last row of each key, unless merged is False: that of the greatest sequence.field,
+        if the table has one, then of the last write, and in a write the last. It takes one exchange, on the keys, for
+        partial results.
         """
         df, declared = self.spark.table(self.table(database, table)), self.schema(database, table)
-        if declared.primary_keys and merged:
-            written = F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.file_block_start")
-            rows = df.withColumns({"_written": written, "_place": F.monotonically_increasing_id()})
-            df = latest_by_key(rows, declared.primary_keys, ["_written", "_place"])
+        if declared.primary_keys and merged and COMMIT in df.columns:
+            first = [F.col(_quoted(declared.options["sequence.field"]))] if "sequence.field" in declared.options else []
+            df = latest_by_key(df, declared.primary_keys, [*first, COMMIT, PLACE])
         return df.select(*(F.col(f"`{n}`").alias(n, metadata={"declared_type": str(t)}) for n, t in declared.logical()))
 
     def write(self, database: str, table: str, rows: DataFrame, overwrite: bool = False) -> int:
-        """Appends rows, or replaces all of the table's, by column name, in one commit; returns how many there were."""
+        """Appends rows, or replaces all of the table's, by column name, in one commit; returns how many there were.
+
+        Rows of tables with primary keys are numbered by write, from a counter in the table's properties that is raised
+        before it, and by their place in the write, so neither clocks nor file names decide which row is the last.
+        """
         seen = Observation()
+        name = self.table(database, table)
+        if COMMIT in self.spark.table(name).columns:
+            known = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            number = int(known.get(COMMITS, 0)) + 1
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{COMMITS}' = '{number}')")
+            rows = rows.withColumns({COMMIT: F.lit(number).cast("long"), PLACE: F.monotonically_increasing_id()})
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).createOrReplaceTempView("_lakeread_rows")
         columns = ", ".join(_quoted(c) for c in rows.columns)
-        self.spark.sql(f"INSERT {'OVERWRITE' if overwrite else 'INTO'} {self.table(database, table)} ({columns}) SELECT {columns} FROM _lakeread_rows")
+        self.spark.sql(f"INSERT {'OVERWRITE' if overwrite else 'INTO'} {name} ({columns}) SELECT {columns} FROM _lakeread_rows")
         self.spark.catalog.dropTempView("_lakeread_rows")
         return seen.get["rows"]
 
+    def splits(self, database: str, table: str, predicate: str = "") -> DataFrame:
+        """(partition_index, *partition keys, path, offset, length, size, modified, rows) of the file parts of each partition.
+
+        Partitions that the filter leaves out are not opened; those left are numbered from 0 in the order of their keys. A
+        table without partition keys has its root as its one partition.
+        """
+        keys = self.schema(database, table).partition_keys
+        parts = Scan(self.spark.table(self.table(database, table)), filter=predicate, complete=True).files(matching=bool(predicate), keys=keys)
+        if not keys:
+            return parts.select(F.lit(0).alias("partition_index"), *parts.columns)
+        found = self.partitions(database, table)
+        condition = parse(predicate, found.schema, strict=True).condition if predicate else None
+        found = found if condition is None else found.where(condition)
+        order = Window.orderBy(*(F.col(_quoted(k)) for k in keys))  # over the catalog's table of partitions alone
+        numbered = F.broadcast(found.select(F.struct(*map(_quoted, keys)).alias("_keys"), (F.row_number().over(order) - 1).alias("partition_index")))
+        joined = parts.join(numbered, F.struct(*map(_quoted, keys)).eqNullSafe(F.col("_keys")))
+        return joined.select("partition_index", *parts.columns)
+
+    def bucket_rows(self, database: str, table: str) -> DataFrame:
+        """The table's rows with `bucket`, the number of the bucket that each was written to, null in a table without."""
+        number = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1)
+        return self.spark.table(self.table(database, table)).withColumn("bucket", F.when(number != "", number.cast("int")))
+
     def partitions(self, database: str, table: str) -> DataFrame:
         """(*partition keys) of the partitions there are, from the catalog alone."""
         keys = self.schema(database, table).partition_keys

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,17 +38,17 @@ class Scan:
         rows = self.table if condition is None else self.table.where(condition)
         return select(rows, self.fields or self.table.columns, self.nested)
 
-    def files(self, matching: bool = False) -> DataFrame:
-        """(path, size, offset, length, modified, rows) of the file parts that the table has rows in.
+    def files(self, matching: bool = False, keys: Iterable[str] = ()) -> DataFrame:
+        """(*keys, path, size, offset, length, modified, rows) of the file parts that the table has rows in.
 
         That takes the files' footers only. With matching=True the filter is applied, so its columns are read: the parts
-        that hold rows of the scan, and how many.
+        that hold rows of the scan, and how many. keys: partition keys, whose values are told from the paths.
         """
         condition = self.parsed().condition
         rows = self.table if condition is None or not matching else self.table.where(condition)
         m = F.col("_metadata")
         return rows.groupBy(
-            m["file_path"].alias("path"), m["file_size"].alias("size"), m["file_block_start"].alias("offset"),
+            *(F.col(f"`{k}`") for k in keys), m["file_path"].alias("path"), m["file_size"].alias("size"), m["file_block_start"].alias("offset"),
             m["file_block_length"].alias("length"), m["file_modification_time"].alias("modified"),
         ).agg(F.count("*").alias("rows"))
 
@@ -78,8 +79,3 @@ def native(splits: DataFrame, force_row: bool = False) -> Column:
 
     clean = splits["is_data"] & splits["raw_convertible"] & (F.coalesce(splits["deletion_files"], F.lit(0)) == 0)
     return F.coalesce(clean & F.forall(splits["files"], readable), F.lit(False))
-
-
-def rows_by_partition(table: DataFrame, partitions: list[str]) -> DataFrame:
-    """(*partitions, rows): the work of each partition of a table."""
-    return table.groupBy(*partitions).agg(F.count("*").alias("rows"))

@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a temporary one only where that is unset (tests, local mode)."""
+    """The shared folder named in spark.checkpoint.dir; where that is unset, a temporary one in local mode, else an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
         shared = tempfile.mkdtemp(prefix="lakeread-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared

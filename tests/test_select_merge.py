@@ -4,6 +4,7 @@ import random
 import pyarrow as pa
 import pytest
 from lakeread.operators import batches, merge, select
+from lakeread.sources import slices
 from pyspark.sql import functions as F
 
 SCHEMA = "id int, s struct<a:int,b:struct<x:int,y:string>,c:double>, l array<struct<p:int,q:int>>, m map<string,struct<u:int,v:int>>"
@@ -88,3 +89,35 @@ def test_arrow_batches_hold_all_rows(spark, rows, size):
     assert [b.num_rows for b in found] == [size] * (rows // size) + [rows % size] * (rows % size > 0)
     if rows:
         assert pa.Table.from_batches(found).column("id").to_pylist() == list(range(rows))
+
+
+def test_batches_are_filled_across_sparks_own(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df = spark.range(1000).coalesce(1)
+        assert [r["rows"] for r in batches.batch_sizes(df, 64).collect()] == [64] * 15 + [40]
+        assert [b.num_rows for b in batches.arrow_batches(df, 3)][-2:] == [3, 1]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_snapshot_is_listed_sliced_and_merged(spark, tmp_path):
+    table, schema = str(tmp_path / "t"), f"k int, at int, v string, gone boolean, {slices.COMMIT_TIME} string"
+    write = lambda name, *rows: slices.write_file(spark.createDataFrame(rows, schema), f"{table}/{name}")
+    write("p=1/a_0_001.parquet", (1, 0, "old", False, "001"), (2, 5, "base", False, "001"), (3, 0, "gone later", False, "001"))
+    write("p=1/a_001.log.1_0", (1, 0, "log wins", False, "002"), (2, 4, "too early", False, "002"), (3, 1, "", True, "002"))
+    write("p=1/a_001.log.2_0", (1, 0, "not completed", False, "003"), (9, 0, "not completed", False, "003"))
+    write("p=2/b_001.log.1_0", (5, 0, "logs alone", False, "002"), (5, 0, "last place", False, "002"))
+    write("p=2/c_0_009.parquet", (7, 0, "never committed", False, "009"))
+    for instant, state in (("001", "completed"), ("002", "requested"), ("002", "inflight"), ("002", "completed"), ("003", "inflight")):
+        slices.write_instant(spark, table, instant, "deltacommit", state)
+    read = lambda **more: sorted((r["k"], r["v"]) for r in slices.read_snapshot(spark, table, ["k"], "at", F.col("gone"), **more).collect())
+    assert read() == [(1, "log wins"), (2, "base"), (5, "last place")]
+    assert read(instant="001") == [(1, "old"), (2, "base"), (3, "gone later")]
+    assert read(partitions=["p=2"]) == [(5, "last place")]
+    assert read(optimized=True) == [(1, "old"), (2, "base"), (3, "gone later")]
+    found = {(r["partition"], r["file_group"]): (r["base_instant"], len(r["logs"])) for r in slices.snapshot(spark, table).collect()}
+    assert found == {("p=1", "a"): ("001", 2), ("p=2", "b"): (None, 1)}
+    assert slices.snapshot(spark, table, instant="000").collect() == []
+    with pytest.raises(ValueError, match="no completed files"):
+        read(instant="000")
