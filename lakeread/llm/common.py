@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..workspace import new_path
 
 IDS = 500_000  # at most so many ids are broadcast
-SAMPLE_CHARS = 100_000_000  # of the texts that a classifier is trained on
+SAMPLE_CHARS = 50_000_000  # of the texts that a classifier is trained on, half for either label
+LONGEST_CHARS = 500_000  # of a text that a classifier is trained on
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -61,25 +64,25 @@ def rank_globally(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
     )
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[int, str, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[object, str, int]]:
     """(id, whole text, label) of at most per_class training rows for label 0 and as many for 1, ordered by id.
 
     Training rows are those with a label whose crc32(doc_id as text) mod 5 is not 0; the ones with the smallest
     xxhash64(doc_id) are taken, so that the sample is seeded and needs no sort of the corpus. Ids that are repeated in
-    labels count once, with the greatest label; null ids and labels are left out. If the texts have more than
-    SAMPLE_CHARS characters together, those after that many in hash order are left out too.
+    labels count once, with the greatest label; of texts that share an id the one with the smallest xxhash64 counts; null
+    ids and labels are left out. Bounds of what is trained on, alike for both labels: texts of more than LONGEST_CHARS
+    are no training rows, and of each label the rows in hash order count up to SAMPLE_CHARS / 2 characters together.
     """
-    clean = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    clean = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y"))
     clean = clean.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = [clean.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     some = F.broadcast(chosen[0].union(chosen[1]))  # 2 * per_class rows at most
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(some, "doc_id")
-    texts = materialize(texts.select("doc_id", "y", "text", F.length("text").alias("size"), F.xxhash64("doc_id").alias("turn")), "sample")
-    if (texts.agg(F.sum("size")).first()[0] or 0) > SAMPLE_CHARS:
-        so_far = F.sum("size").over(Window.orderBy("turn", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-        within = texts.select("doc_id", "turn", "size").withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_CHARS)
-        texts = texts.join(F.broadcast(within.select("doc_id").distinct()), "doc_id", "left_semi")
-    return sorted((r["doc_id"], r["text"], r["y"]) for r in texts.select("doc_id", "text", "y").collect())
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= LONGEST_CHARS)
+    texts = texts.join(some, "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    turn = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # per_class rows at most
+    texts = materialize(texts.withColumn("so_far", F.sum(F.length("text")).over(turn)), "sample")
+    within = texts.where(F.col("so_far") <= SAMPLE_CHARS // 2)
+    return sorted((r["doc_id"], r["text"], r["y"]) for r in within.select("doc_id", "text", "y").collect())
 
 
 def held_out(id_col: str) -> Column:
@@ -92,7 +95,7 @@ def score_rows(docs: DataFrame, text: Column, scorer: Callable[[], Callable[[lis
     scorer() is called once in each task and gives a function from texts to scores. Rows keep all their columns, whatever
     their names, so nothing has to be joined back.
     """
-    schema = f"row {docs.schema.simpleString()}, score double"
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer()
@@ -102,14 +105,88 @@ def score_rows(docs: DataFrame, text: Column, scorer: Callable[[], Callable[[lis
                 values = pa.array(score(x.as_py() for x in part.column(1)), pa.float64())
                 yield pa.RecordBatch.from_arrays([part.column(0), values], ["row", "score"])
 
-    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text.alias("text")).mapInArrow(scored, schema)
+    return docs.select(whole_row(docs), text.alias("text")).mapInArrow(scored, schema)
 
 
-def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id is not among ids (of one column), broadcast only up to IDS of them."""
-    ids = materialize(ids.toDF("_gone").where("_gone is not null").distinct(), "gone")
-    few = ids.count() <= IDS
-    return docs.join(F.broadcast(ids) if few else ids, docs[id_col] == ids["_gone"], "left_anti")
+def quoted(name: str) -> str:
+    """A column's name as F.col() takes it, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """(row): all columns as one struct, so that nothing clashes with their names."""
+    return F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")
+
+
+def text_key(text: str) -> Column:
+    """What tells rows of one id apart: a hash of the text."""
+    return F.xxhash64(F.col(quoted(text)))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id and text are not among gone (id, key), where key is text_key() and ids may be null.
+
+    So rows that share an id are judged by their own texts. gone is broadcast only up to IDS rows.
+    """
+    gone = materialize(gone.select("id", "key").distinct(), "gone")
+    few = gone.count() <= IDS
+    return _matched(docs, F.broadcast(gone) if few else gone, id_col, text_col, "left_anti").select("row.*")
+
+
+def only_first(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row for each of the repeated (id, key): of rows with one id and text the least by a hash of all columns.
+
+    Only rows of repeated keys are moved, as a partial aggregate, so a row that fills a third of the table is no task.
+    """
+    repeated = materialize(repeated.select("id", "key").distinct(), "repeated")
+    few = repeated.count() <= IDS
+    if few and repeated.isEmpty():
+        return docs
+    hinted = F.broadcast(repeated) if few else repeated
+    rest = _matched(docs, hinted, id_col, text_col, "left_anti")
+    several = _matched(docs, hinted, id_col, text_col, "inner")
+    text = F.to_json("row")
+    one = several.groupBy("id", "key").agg(F.min_by("row", F.struct(F.xxhash64(text), text)).alias("row")).select("row")
+    return rest.select("row").union(one).select("row.*")
+
+
+def _matched(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    rows = docs.select(whole_row(docs), F.col(quoted(id_col)).alias("_id"), text_key(text_col).alias("_key"))
+    return rows.join(keys, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), how)
+
+
+class WordTable(dict):
+    """word -> its place in a table of `width` numbers for each word; the table grows in steps, and starts anew when it is large."""
+
+    width, most = 1, 300_000
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new, self.size, self.table = array("i"), 0, np.empty((1024, self.width), np.int32)
+
+    def numbers(self, word: bytes) -> tuple[int, ...]:
+        raise NotImplementedError
+
+    def __missing__(self, word: bytes) -> int:
+        place = self.size + len(self.new) // self.width
+        self.new.extend(self.numbers(word))
+        self[word] = place
+        return place
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        if fresh := len(self.new) // self.width:
+            if self.size + fresh > len(self.table):
+                larger = np.empty((2 * (self.size + fresh), self.width), np.int32)
+                larger[: self.size] = self.table[: self.size]
+                self.table = larger
+            self.table[self.size : self.size + fresh] = np.frombuffer(self.new, np.int32).reshape(-1, self.width)
+            self.new, self.size = array("i"), self.size + fresh
+        return self.table[places]
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.clear()
+            self.new, self.size = array("i"), 0
 
 
 class Adagrad:

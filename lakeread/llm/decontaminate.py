@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, without
+from .common import ascii_lower, materialize, text_key, without
 
 WINDOW = 10  # words that are shared at least; an item of fewer is one window
 GRAM = 5  # words of a k-gram
@@ -20,86 +20,100 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(text, SEPARATORS), ""), F.array().cast("array<string>"))
 
 
-def _window_minima(width: int) -> tuple[Column, Column]:
-    """From columns `hashes` (of words) to `grams`, and from `grams` to the least k-gram hash of every window of width words.
+def _minima(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """Adds minima_<width>, the least k-gram hash of every window of so many words, to rows that have `words`; null where they are fewer.
 
-    Windows hold width - k + 1 k-grams, so a span of width words that two texts share has the same minimum in both.
+    Windows hold width - k + 1 k-grams, so a span of width words that two texts share has the same minimum in both. Words
+    are hashed once for all widths, k-grams once for all widths that have the same k. Each step is a column of its own,
+    since Spark does not make again what is used more than once.
     """
-    k = min(GRAM, width)
-    gram = lambda i: F.xxhash64(*(F.get("hashes", i + j) for j in range(k)))
-    grams = F.transform(F.sequence(F.lit(0), F.size("hashes") - k), gram)
-    least = lambda i: F.least(*(F.get("grams", i + j) for j in range(width - k + 1))) if width > k else F.get("grams", i)
-    return grams, F.transform(F.sequence(F.lit(0), F.size("grams") - (width - k + 1)), least)
-
-
-def _minima(texts: DataFrame, width: int) -> DataFrame:
-    """Adds `minima` to rows that have `words`, null where they are fewer than width: a filter would split texts twice."""
-    grams, minima = _window_minima(width)
-    hashes = F.when(F.size("words") >= width, F.transform("words", lambda w: F.xxhash64(F.lower(w))))
-    hashed = texts.withColumn("hashes", hashes)
-    return hashed.withColumn("grams", grams).drop("hashes").withColumn("minima", minima).drop("grams")
-
-
-def _fingerprints(texts: DataFrame, width: int, *keep: str) -> DataFrame:
-    """(*keep, fp, first, last): runs of windows, by their first words' places, that have the same minimum."""
-    rows = _minima(texts, width)
-    new = F.filter(
-        F.sequence(F.lit(0), F.size("minima") - 1),
-        lambda i: (i == 0) | (F.get("minima", i) != F.get("minima", i - 1)),
-    )
-    rows = rows.withColumn("starts", new)
-    run = lambda s, i: F.struct(
-        F.get("minima", s).alias("fp"), s.alias("first"), (F.coalesce(F.get("starts", i + 1), F.size("minima")) - 1).alias("last")
-    )
-    return rows.select(*keep, F.explode(F.transform("starts", run)).alias("run")).select(*keep, "run.*")
+    size = F.size("words")
+    hashed = texts.withColumn("hashes", F.when(size >= min(widths), F.transform("words", lambda w: F.xxhash64(F.lower(w)))))
+
+    def grams(k: int) -> Column:
+        gram = lambda i: F.xxhash64(*(F.get("hashes", i + j) for j in range(k)))
+        return F.when(F.size("hashes") >= k, F.transform(F.sequence(F.lit(0), F.size("hashes") - k), gram))
+
+    def minima(width: int) -> Column:
+        k = min(GRAM, width)
+        name, each = f"grams_{k}", width - k + 1
+        least = lambda i: F.least(*(F.get(name, i + j) for j in range(each))) if each > 1 else F.get(name, i)
+        return F.when(F.size(name) >= each, F.transform(F.sequence(F.lit(0), F.size(name) - each), least))
+
+    ks = sorted({min(GRAM, w) for w in widths})
+    hashed = hashed.withColumns({f"grams_{k}": grams(k) for k in ks}).drop("hashes")
+    return hashed.withColumns({f"minima_{w}": minima(w) for w in widths}).drop(*(f"grams_{k}" for k in ks))
+
+
+def _fingerprints(texts: DataFrame, widths: list[int], *keep: str) -> DataFrame:
+    """(*keep, width, fp, first, last): runs of windows, by their first words' places, that have the same minimum."""
+
+    def starts(width: int) -> Column:
+        least = f"minima_{width}"
+        new = lambda i: (i == 0) | (F.get(least, i) != F.get(least, i - 1))
+        return F.filter(F.sequence(F.lit(0), F.size(least) - 1), new)
+
+    def runs(width: int) -> Column:
+        least, begin = f"minima_{width}", f"starts_{width}"
+        run = lambda s, i: F.struct(
+            F.lit(width).alias("width"), F.get(least, s).alias("fp"), s.alias("first"), (F.coalesce(F.get(begin, i + 1), F.size(least)) - 1).alias("last")
+        )
+        return F.coalesce(F.transform(begin, run), F.array().cast("array<struct<width:int,fp:bigint,first:int,last:int>>"))
+
+    rows = _minima(texts, widths)
+    rows = rows.withColumns({f"starts_{w}": F.when(F.size(f"minima_{w}") > 0, starts(w)) for w in widths})
+    return rows.select(*keep, F.explode(F.concat(*map(runs, widths))).alias("run")).select(*keep, "run.*")
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, width, text) of all windows of all items."""
+    """(width, window, items): every distinct window as text, with the sorted ids of the items that hold it, none for null ids."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(ascii_lower(F.col("text"))).alias("words")).where(F.size("words") > 0)
     items = items.withColumn("width", F.least(F.size("words"), F.lit(WINDOW)))
     cut = F.transform(
         F.sequence(F.lit(0), F.size("words") - F.col("width")),
         lambda i: F.array_join(F.slice("words", i + 1, F.col("width")), " "),
     )
-    return items.select("item_id", "width", F.explode(cut).alias("window")).distinct()
+    windows = items.select("item_id", "width", F.explode(cut).alias("window"))
+    return windows.groupBy("width", "window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 
 def hit_windows(docs: DataFrame, benchmark: DataFrame, *keys: str) -> DataFrame:
-    """(*keys, first, width, item_id): every place of a document where a window of an item occurs; docs has `words`.
-
-    For each width of windows that the items have (10, and less for short items), documents and items are winnowed: the
-    least 5-gram hash of every window is its fingerprint, runs of windows with one fingerprint are one row. Fingerprints
-    are joined, hits are extended to all windows of their runs, and these are compared with the items' windows as text.
-    The items' side is broadcast only if its counted rows and bytes are under a bound; a larger one is joined by
-    shuffle, where AQE splits hot fingerprints, with only the words of the run at hand.
+    """(*keys, first, width, items): every place of a document where a window of items occurs, and these items; docs has `words`.
+
+    Documents and items are winnowed in windows of 10 words, and of less if there are short items, in one pass for all
+    widths: the least 5-gram hash of every window is its fingerprint, runs of windows with one fingerprint are one row.
+    Fingerprints are joined, hits are extended to all windows of their runs, and these are compared with the items'
+    windows as text. A window that many items share is one row with all of them. The items' side is broadcast only if its
+    counted rows and bytes are under a bound; a larger one is joined by shuffle, where AQE splits hot fingerprints, with
+    only the words of the run at hand.
     """
     windows = materialize(_item_windows(benchmark), "windows")
-    counts = windows.groupBy("width").agg(F.count("*"), F.sum(F.octet_length("window"))).collect()  # a row per width: ten at most
-    found = None
-    for width, rows, size in sorted(counts):
-        small = rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-        hint = F.broadcast if small else lambda df: df
-        own = windows.where(F.col("width") == width)
-        prints = _minima(own.select(words_of(F.col("window")).alias("words")), width).select(F.get("minima", F.lit(0)).alias("fp"))
-        runs = _fingerprints(docs, width, *keys, "words")
-        near = F.slice("words", F.col("first") + 1, F.col("last") - F.col("first") + width)
-        if not small:
-            runs = runs.withColumn("words", near)
-            near = F.col("words")
-        hits = runs.join(hint(prints.distinct()), "fp", "left_semi").select(*keys, "first", "last", near.alias("near"))
-        lowered = hits.withColumn("near", F.transform("near", ascii_lower))
-        cut = F.transform(
-            F.sequence(F.lit(0), F.col("last") - F.col("first")),
-            lambda i: F.array_join(F.slice("near", i + 1, width), " "),
-        )
-        texts = lowered.select(*keys, "first", F.posexplode(cut).alias("at", "window"))
-        texts = texts.select(*keys, (F.col("first") + F.col("at")).alias("first"), F.lit(width).alias("width"), "window")
-        same = texts.join(hint(own.select("window", "item_id")), "window").drop("window")
-        found = same if found is None else found.union(same)
-    if found is None:
-        return docs.limit(0).select(*keys, F.lit(0).alias("first"), F.lit(0).alias("width"), F.lit("").alias("item_id"))
-    return found
+    size = F.octet_length("window") + F.aggregate("items", F.lit(0), lambda n, x: n + F.octet_length(x) + 8)
+    counts = windows.groupBy("width").agg(F.count("*"), F.sum(size)).collect()  # a row per width: ten at most
+    if not counts:
+        return docs.limit(0).select(*keys, F.lit(0).alias("first"), F.lit(0).alias("width"), F.array().cast("array<string>").alias("items"))
+    widths = sorted(r[0] for r in counts)
+    small = sum(r[1] for r in counts) <= BROADCAST_ROWS and sum(r[2] for r in counts) <= BROADCAST_BYTES
+    hint = F.broadcast if small else lambda df: df
+    prints = None
+    for width in widths:
+        own = _minima(windows.where(F.col("width") == width).select(words_of(F.col("window")).alias("words")), [width])
+        own = own.select(F.lit(width).alias("width"), F.get(f"minima_{width}", F.lit(0)).alias("fp"))
+        prints = own if prints is None else prints.union(own)
+    runs = _fingerprints(docs, widths, *keys, "words")
+    near = F.slice("words", F.col("first") + 1, F.col("last") - F.col("first") + F.col("width"))
+    if not small:
+        runs = runs.withColumn("words", near)
+        near = F.col("words")
+    hits = runs.join(hint(prints.distinct()), ["width", "fp"], "left_semi").select(*keys, "width", "first", "last", near.alias("near"))
+    lowered = hits.withColumn("near", F.transform("near", ascii_lower))
+    cut = F.transform(
+        F.sequence(F.lit(0), F.col("last") - F.col("first")),
+        lambda i: F.array_join(F.slice("near", i + 1, F.col("width")), " "),
+    )
+    texts = lowered.select(*keys, "width", "first", F.posexplode(cut).alias("at", "window"))
+    texts = texts.select(*keys, (F.col("first") + F.col("at")).alias("first"), "width", "window")
+    return texts.join(hint(windows), ["width", "window"]).select(*keys, "first", "width", "items")
 
 
 def _covered(windows: Column) -> Column:
@@ -123,25 +137,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts and items have no words and match nothing. Items with a null id hit words but aren't counted;
     repeated items count once. Repeated documents, and those with a null id, get a row each. Other columns are not read.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_text"), "text")
-    worded = keyed.select("doc_id", "_text", words_of(F.col("text")).alias("words"))
-    hits = hit_windows(worded, benchmark, "doc_id", "_text").groupBy("doc_id", "_text").agg(
+    return _judged(docs, benchmark).drop("key")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """contamination(), with the text_key() of each row."""
+    keyed = docs.select("doc_id", text_key("text").alias("key"), "text")
+    worded = keyed.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+    hits = hit_windows(worded, benchmark, "doc_id", "key").groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_set(F.struct("first", "width"))).alias("windows"),
-        F.sort_array(F.collect_set("item_id")).alias("items"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     hits = hits.select(
-        F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), _covered(F.col("windows")).alias("hit"), "items"
+        F.col("doc_id").alias("_id"), F.col("key").alias("_hash"), _covered(F.col("windows")).alias("hit"), "items"
     )
-    counted = keyed.select("doc_id", "_text", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    rows = counted.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
+    counted = keyed.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = counted.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_hash")), "left")
     ids = F.coalesce(F.concat_ws(",", "items"), F.lit(""))
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
     return rows.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        "doc_id", "key", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit word; those with a null id stay."""
-    return without(docs, contamination(docs, benchmark).where("contaminated").select("doc_id"))
+    """The rows of docs without any hit word, with all their columns.
+
+    Each row is judged by its own text, so rows with a null id or with an id that others have too stay or go by it alone;
+    repeated rows stay or go together. Null and empty texts have no words and stay. No benchmark, no loss.
+    """
+    worded = docs.select(F.col("doc_id").alias("id"), text_key("text").alias("key"), words_of(F.col("text")).alias("words"))
+    return without(docs, hit_windows(worded, benchmark, "id", "key"))

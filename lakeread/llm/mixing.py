@@ -17,25 +17,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     """(source, source_size, weight, target) from rows (source, size).
 
     Sources by code point, null last, take the weights in turn. They share the sum of all sizes by weight, no more than
-    max_epochs times their own size each; what is cut off is shared by weight among the rest until none is above. Each
-    round is one aggregate over the table of sources and sets the level (words for a weight of 1) anew; the level only
-    rises, so there are at most as many rounds as sources. Sources of size 0, and all of them if all are, get 0.
+    max_epochs times their own size each; what is cut off is shared by weight among the rest until none is above. A
+    source is cut off the earlier the less its cap is for its weight. So with sources in that order, the level (words for
+    a weight of 1) is what the caps before one leave of the total, over the weights from it on, at the place where that
+    is greatest: one running sum over the table of sources. Sources of size 0, and all of them if all are, get 0.
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("_null", F.col("source").isNull())
     turn = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     ranked = rank_globally(sources, "_null", "source").select("source", "source_size", turn.cast("double").alias("weight"))
     ranked = materialize(ranked.withColumn("cap", (F.col("source_size") * max_epochs).cast("double")), "sources")
     total, weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
-    level = float(total or 0) / (weight or 1)
-    while True:
-        over = F.col("cap") <= F.col("weight") * level
-        capped, free = ranked.agg(F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight")))).first()
-        if not free:
-            break
-        raised = (float(total) - (capped or 0.0)) / free
-        if raised <= level:
-            break
-        level = raised
+    before = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(float(total or 0)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
+    free = F.lit(float(weight or 1)) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    level = ranked.select((left / free).alias("level")).agg(F.max("level")).first()[0] or 0.0
     return ranked.withColumn("target", F.round(F.least("cap", F.col("weight") * level), 6)).drop("cap")
 
 
@@ -46,15 +41,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     whole times, and once more if it comes early enough in its source's seeded order (the md5 of seed and doc_id, then
     size): documents are added in that order while their middle word is within what the whole repetitions leave of the
     target. A source's taken words so differ from its target by half a document at most. Repeated rows are documents of
-    their own; a null doc_id has its own place in the order. An empty table gives no rows. Other columns are not read.
+    their own; a row with a null doc_id has its place by a hash of its text. An empty table gives no rows. Other columns are not read.
 
     The order's running sums are taken in two steps, over a source's hash buckets and within each, so no source, however
     large, is summed in one task.
     """
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit(""))))  # so that rows without an id have places of their own
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), unnamed)))
     sizes = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"), order.alias("order")
+        "doc_id", "source", F.coalesce(words, F.lit(0)).cast("long").alias("size"), order.alias("order")
     )
     sizes = materialize(sizes.withColumn("bucket", F.substring("order", 1, BUCKETS_HEX)), "sizes")
     targets = source_targets(sizes, weights, max_epochs)

@@ -7,7 +7,6 @@ sum of their codes is scored.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from zlib import crc32
@@ -16,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Adagrad, held_out, labelled_sample, score_rows
+from .common import Adagrad, WordTable, held_out, labelled_sample, score_rows
 
 ROWS = 1 << 15
 DIM = 16
@@ -38,28 +37,16 @@ def _shape(word: str) -> str:
     return ("^" if word.isupper() and len(word) > 1 else "") + _RUN.sub(r"\1", signs)[:8]
 
 
-class Vocabulary(dict):
-    """word -> row of rows(); starts anew when it grows too large."""
+class Vocabulary(WordTable):
+    width = 2
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.ids = array("i")
-
-    def __missing__(self, word: bytes) -> int:
-        row = len(self.ids) // 2
+    def numbers(self, word: bytes) -> tuple[int, int]:
         shape = _shape(word.decode(errors="replace"))
-        self.ids.extend((crc32(word.lower()) % ROWS, crc32(b"#" + shape.encode()) % ROWS))
-        self[word] = row
-        return row
+        return crc32(word.lower()) % ROWS, crc32(b"#" + shape.encode()) % ROWS
 
     def rows(self, of: np.ndarray) -> np.ndarray:
         """The hashed rows of the embedding table of each word and of its shape."""
-        return np.array(self.ids, dtype=np.int32).reshape(-1, 2)[of]
-
-    def trim(self) -> None:
-        if len(self) > 300_000:
-            self.clear()
-            del self.ids[:]
+        return self.at(of)
 
 
 def _rows(text: bytes | None, vocabulary: Vocabulary) -> np.ndarray:
@@ -215,7 +202,7 @@ def score(docs: DataFrame, model: AttentionMil) -> DataFrame:
     Whole texts are scored, null ones as empty (one passage without words). Only the text is an input; other columns are
     not read. An empty table gives no rows.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = docs.select("doc_id", "text")
     return _scored(ids, model).select(
         F.col("row.doc_id").alias("doc_id"),
         F.coalesce(held_out("row.doc_id"), F.lit(False)).alias("held_out"),
@@ -225,7 +212,11 @@ def score(docs: DataFrame, model: AttentionMil) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: AttentionMil) -> DataFrame:
-    """The rows of docs that score() predicts good, with all their columns."""
+    """The rows of docs that score() predicts good, with all their columns, whatever their names.
+
+    Each row is judged by its own text: null and empty ones as a text without words, repeated rows and ids alike. Very
+    long texts are scored whole. An empty table gives no rows.
+    """
     return _scored(docs, model).where(F.col("score") >= THRESHOLD).select("row.*")
 
 

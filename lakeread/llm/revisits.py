@@ -40,15 +40,28 @@ def _agree(response: str, revisit: Column) -> Column:
     )
 
 
+def _by_lower_name(headers: Column) -> Column:
+    """Headers by lower-cased name; of several whose names differ in capitals only, the one whose name sorts last counts."""
+    entries = F.array_sort(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))))
+    named = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+
+    def kept(entries: Column) -> Column:
+        later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+        return F.filter(entries, lambda e, i: ~later(e, i))
+
+    return F.map_from_entries(kept(named))
+
+
 def resolve(records: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per revisit: (id, canonical_url, status, refers_to, payload_length, headers).
 
-    records: (id long, url, ts long, kind, etag, last_modified, digest, payload_length long, headers map); kind is
+    records: (id, url, ts long, kind, etag, last_modified, digest, payload_length long, headers map); kind is
     'response' or 'revisit', other kinds and null are left out. refers_to is the response of the same canonical URL with
     the greatest ts below the revisit's, among equals the greatest id. status: 'resolved' if the first validator that both
     records have agrees (weak etags as strong ones), 'mismatch' if it doesn't, 'unverifiable' if they share none,
     'missing' without an earlier response; a null url or ts is 'missing'. headers: for a resolved revisit those of the
-    response with the revisit's permitted fields put over them (names by lower case), else null. Repeated revisits are
+    response with the revisit's permitted fields put over them, else null; names are lower-cased, and of names that differ in
+    capitals only the one that sorts last counts (etag over ETag). Repeated revisits are
     resolved each. Other columns may stand in records and are not read.
 
     The as-of join is a last-value window over both kinds in one order. A URL's history is cut into blocks of a global
@@ -57,7 +70,7 @@ def resolve(records: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     names = ("etag", "last_modified", "digest", "payload_length", "headers")
     lean = records.where(F.col("kind").isin("response", "revisit")).select(
-        F.col("id").cast("long").alias("id"), canonical_url(F.col("url")).alias("canonical_url"), F.col("ts").cast("long").alias("ts"),
+        "id", canonical_url(F.col("url")).alias("canonical_url"), F.col("ts").cast("long").alias("ts"),
         (F.col("kind") == "response").alias("full"), *names,
     )
     usable = F.col("canonical_url").isNotNull() & F.col("ts").isNotNull()
@@ -79,8 +92,7 @@ def resolve(records: DataFrame, block: int = BLOCK) -> DataFrame:
     status = (
         F.when(F.col("response").isNull(), "missing").when(agree.isNull(), "unverifiable").when(agree, "resolved").otherwise("mismatch")
     )
-    lower = lambda m: F.transform_keys(F.coalesce(m, F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
-    old, new = lower(F.col("response.headers")), lower(F.col("headers"))
+    old, new = _by_lower_name(F.col("response.headers")), _by_lower_name(F.col("headers"))
     updates = F.map_filter(new, lambda k, _: k.isin(PERMITTED_HEADERS))
     kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(updates, k))
     merged = F.map_concat(kept, updates)

@@ -76,7 +76,7 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     If only one verdict occurs among them, it is everyone's; if there are none, 'allow'. Null URLs and those without
     :// have an empty host and path. Repeated rows are judged alike. Other columns are not read.
     """
-    urls = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
+    urls = pages.select("page_id", "url")
     urls = urls.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     urls = urls.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     ruled = F.lit(None).cast("string")
