@@ -1,44 +1,64 @@
-"""SimHash near-duplicates: fingerprints, a positional byte index with count filtering, and components."""
+"""SimHash near-duplicates: fingerprints, an index by positional bytes with count filtering, and components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
+from math import acos, ceil, comb, log2, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, without
+from .common import IDS, materialize, only_first, quoted, text_key, without
 from .components import connected_components
 
 SEED = 42
 SHINGLE = 3
 BYTES = 8
 MAX_BITS = 3
-SALTS = 32  # tasks that the fingerprints of one large component are named in
+LIST = 2_048  # entries of the index that one task holds against one another; longer lists are cut
+SALTS = 32  # tasks that the members of one large component are named in
 
+COPY_SHINGLE = 5
+COPY_SIMILARITY = 0.8
+COPY_MISSED = 0.1  # chance at most that a pair just at the similarity is no candidate
+COPY_MEETINGS = 2  # pieces that candidates share at least
+COPY_NEIGHBOURS = 2  # that follow a text in a list of the index and are compared with it
 
-def _fingerprint(text: bytes | None) -> int:
+
+def _shingles(text: bytes | None, width: int) -> tuple[bytes, np.ndarray]:
+    """The words joined by blanks, A-Z lower-cased, and the XXH64 of all shingles, repeats included; none of no words."""
     words = (text or b"").lower().split()  # of bytes: A-Z alone, and the six ASCII blanks
-    if not words:
-        return 0
     joined = b" ".join(words)
+    if not words:
+        return joined, np.empty(0, np.uint64)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    width = min(SHINGLE, len(words))
+    width = min(width, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(joined[s:e], SEED) for s, e in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())],
-        dtype="<u8",
-    )
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        block = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
+    return joined, np.array([digest(joined[s:e], SEED) for s, e in spans], dtype="<u8")
+
+
+def _majority(hashes: np.ndarray, spread: int = 1) -> np.ndarray:
+    """Bits (64 x spread) that are set in over half of the hashes; each hash is spread to so many words by mixing it anew."""
+    ones = np.zeros(64 * spread, dtype=np.int64)
+    odd = np.random.default_rng(SEED).integers(1, 1 << 63, spread, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    for at in range(0, len(hashes), 255):  # so many ones fit a byte
+        block = hashes[at : at + 255, None]
+        if spread > 1:
+            block = (block ^ (block >> np.uint64(31))) * odd
+            block ^= block >> np.uint64(29)
+        bits = np.unpackbits(np.ascontiguousarray(block).view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return 2 * ones > len(hashes)
+
+
+def _fingerprint(text: bytes | None) -> int:
+    return int(np.packbits(_majority(_shingles(text, SHINGLE)[1]), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -48,14 +68,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     XXH64 with seed 42; repeats count. Fewer words make one shingle; null, empty and blank texts get 0. Other columns of
     docs are not read.
     """
+    ids = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("binary").alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([_fingerprint(x.as_py()) for x in batch.column(1)], dtype="<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return ids.mapInArrow(hashed, "id long, fp long")
+    return ids.mapInArrow(hashed, ids.select("id", F.lit(0).cast("long").alias("fp")).schema)
 
 
 def _signed(x: int) -> int:
@@ -63,76 +83,218 @@ def _signed(x: int) -> int:
 
 
 def _shared_bytes(a: Column, b: Column) -> Column:
-    """How many of the eight positional bytes two fingerprints share."""
+    """The tally of a pair: how many of the eight positional bytes two fingerprints share."""
     x = a.bitwiseXOR(b)
     return sum(((x.bitwiseAND(F.lit(_signed(255 << 8 * i)))) == 0).cast("int") for i in range(BYTES))
 
 
+def _long_lists(lists: DataFrame) -> DataFrame:
+    """(place, piece, blocks) of the index's lists of more than LIST nodes, and into how many blocks each is cut."""
+    long = lists.groupBy("place", "piece").agg(F.count("*").alias("n")).where(F.col("n") > LIST)
+    return materialize(long.withColumn("blocks", F.ceil(F.col("n") / LIST).cast("int")).drop("n"), "lists")
+
+
+def _cut(lists: DataFrame, long: DataFrame) -> DataFrame:
+    """lists with `blocks` and `block`, by a hash of the node; null and 0 for lists that are not long."""
+    hinted = F.broadcast(long) if long.count() <= IDS else long
+    block = F.coalesce(F.pmod(F.xxhash64("node", "place"), "blocks"), F.lit(0)).cast("int")
+    return lists.join(hinted, ["place", "piece"], "left").withColumn("block", block)
+
+
+def meetings(listed: DataFrame, test: Callable[[Callable[[str], Column], Callable[[str], Column]], Column]) -> DataFrame:
+    """(a, b): pairs of nodes, a < b, that have a piece in common in some place and pass the test; a row for each such place.
+
+    listed: (node long, pieces array<long>) and what the test reads, each node once; test(l, r) gets a function from names
+    to columns for either node. The index lists, for each place and piece, the nodes that have it. A list of more than
+    LIST nodes is cut into blocks by a hash of the node, and pairs of blocks are joined by themselves, so no list, however
+    long, is joined in one task; none is dropped. The test is part of the join, so pairs that fail it are never rows. The
+    joins are hinted: Spark judges the lists by the size of the table that they are exploded from, and may broadcast them.
+    """
+    lists = listed.select(*(c for c in listed.columns if c != "pieces"), F.posexplode("pieces").alias("place", "piece"))
+    long = _long_lists(lists.select("place", "piece"))
+    on, across, left, right = ["place", "piece"], F.lit(False), lists, lists
+    if not long.isEmpty():
+        cut = _cut(lists, long)
+        last = F.coalesce(F.col("blocks"), F.lit(1)) - 1
+        left = cut.withColumns({"i": F.col("block"), "j": F.explode(F.sequence("block", last))})
+        right = cut.withColumns({"j": F.col("block"), "i": F.explode(F.sequence(F.lit(0), F.col("block")))})
+        on, across = [*on, "i", "j"], F.col("l.i") < F.col("l.j")
+    l, r = (lambda name: F.col(f"l.{name}")), (lambda name: F.col(f"r.{name}"))
+    same = [l(c) == r(c) for c in on]
+    pairs = left.alias("l").join(right.alias("r").hint("merge"), [*same, across | (l("node") < r("node")), test(l, r)])
+    return pairs.select(F.least(l("node"), r("node")).alias("a"), F.greatest(l("node"), r("node")).alias("b"))
+
+
 def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): all pairs of distinct fingerprints (column fp) that differ in at most max_bits (0 to 4) bits.
 
     Differing bits spoil at most max_bits of the eight positional bytes, so a pair shares at least 8 - max_bits of them,
-    and 7 - max_bits of the first seven. A posting list for one byte would hold 1/256 of the corpus, so the index is
-    keyed by that many positional bytes at once (35 keys of four bytes for three bits): no pair can miss all of its
-    keys. Pairs that meet are tallied by shared bytes, kept from 8 - max_bits on, then verified bit by bit. Tally and
-    test are part of the join, which so puts out links only; repeats from several keys are merged. The join is hinted:
-    Spark judges the postings by the size of the table that they are exploded from, and may broadcast them.
+    and 7 - max_bits of the first seven. A list for one byte would hold 1/256 of the corpus, so the index is keyed by that
+    many of the first seven at once (35 keys of four bytes for three bits): no pair can miss all of its keys. Pairs that
+    meet are tallied by shared bytes, dropped under 8 - max_bits, and verified bit by bit. Tally and test are made where
+    a pair meets: grouping all meetings would put out all pairs of each list. Repeats from several keys are merged.
     """
-    key_bytes = BYTES - 1 - max_bits
-    masks = [_signed(sum(255 << 8 * i for i in places)) for places in combinations(range(BYTES - 1), key_bytes)]
-    postings = distinct.select(
-        "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("places", "bytes")
-    )
-    left = postings.toDF("a", "places", "bytes")
-    right = postings.toDF("b", "places", "bytes")
-    a, b = F.col("a"), F.col("b")
-    pairs = left.alias("l").join(
-        right.alias("r").hint("merge"),
-        (F.col("l.places") == F.col("r.places"))
-        & (F.col("l.bytes") == F.col("r.bytes"))
-        & (a < b)
-        & (_shared_bytes(a, b) >= BYTES - max_bits)
-        & (F.bit_count(a.bitwiseXOR(b)) <= max_bits),
-    )
-    return pairs.select("a", "b").distinct()
+    masks = [_signed(sum(255 << 8 * i for i in places)) for places in combinations(range(BYTES - 1), BYTES - 1 - max_bits)]
+    listed = distinct.select(F.col("fp").alias("node"), F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks)).alias("pieces"))
+
+    def near(l: Callable[[str], Column], r: Callable[[str], Column]) -> Column:
+        differing = F.bit_count(l("node").bitwiseXOR(r("node")))
+        return (_shared_bytes(l("node"), r("node")) >= BYTES - max_bits) & (differing <= max_bits)
+
+    return meetings(listed, near).distinct()
+
+
+def _named(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, first, n_links) of distinct (node, least): the least of the component, and how many nodes each is linked to."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    grouped = materialize(connected_components(links).join(degree, "node"), "grouped")
+    linked = distinct.join(grouped, "node").withColumn("salt", F.pmod("node", F.lit(SALTS)))
+    first = linked.groupBy("component").agg(F.min("least").alias("first"))
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    named = linked.join(first.hint("merge"), ["component", "salt"]).select("node", "first", "n_links")
+    return named.union(distinct.join(grouped, "node", "left_anti").select("node", F.col("least").alias("first"), F.lit(0).cast("long").alias("n_links")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of docs: (id_col, fingerprint, component_id, n_links).
 
     fingerprint: 16 lower-case hex digits. component_id: the smallest id that can be reached over links of at most
-    max_bits differing bits, itself included. n_links: other distinct fingerprints linked to the row's own. Rows with
-    equal fingerprints are merged before the search, so copies are never paired. A null id gets a row and is never a
-    component's id, unless all of its component's ids are null (then null). An empty table gives no rows; columns of
-    docs besides the two are ignored and may have any name.
+    max_bits differing bits, itself included; ids may be of any type that has an order. n_links: other distinct
+    fingerprints linked to the row's own. Rows with equal fingerprints are merged before the search, so copies are never
+    paired. A null id gets a row and is never a component's id, unless all of its component's ids are null (then null). An
+    empty table gives no rows; columns of docs besides the two are ignored and may have any name.
     """
     fps = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    links = materialize(fingerprint_links(distinct, max_bits), "links")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    grouped = connected_components(links).join(degree, "node")
-    linked = distinct.join(grouped, distinct["fp"] == grouped["node"]).withColumn("salt", F.pmod("fp", F.lit(SALTS)))
-    smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    smallest = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    named = linked.join(smallest.hint("merge"), ["component", "salt"]).select("fp", "component_id", "n_links")
-    alone = distinct.join(grouped, distinct["fp"] == grouped["node"], "left_anti")
-    named = named.union(alone.select("fp", F.col("least").alias("component_id"), F.lit(0).alias("n_links")))
+    distinct = materialize(fps.groupBy(F.col("fp").alias("node")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")), "distinct")
+    links = materialize(fingerprint_links(distinct.select(F.col("node").alias("fp")), max_bits), "links")
+    named = _named(distinct, links).withColumnRenamed("node", "fp")
     return fps.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        F.col("n_links").cast("long").alias("n_links"),
+        F.col("first.id").alias("component_id"),
+        "n_links",
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of docs stays, that of the smallest id; of rows that repeat an id, any one does.
+def _differing(similarity: float) -> float:
+    """The chance that a bit differs between sets of that Jaccard similarity J and about one size: their cosine is 2 J / (1 + J)."""
+    return acos(2 * similarity / (1 + similarity)) / pi
+
+
+def _pieces_for(rows: int, similarity: float, missed: float = COPY_MISSED, least: int = COPY_MEETINGS) -> tuple[int, int]:
+    """(bits, pieces): how many bits a piece has, and how many pieces a fingerprint, for so many texts.
+
+    Pieces have as many bits as a number up to rows, so that a list holds about one text by chance (26 at most: beyond 10**8 texts lists get longer, not pieces more). There are so many that
+    a pair at the similarity shares fewer than `least` of them with a chance of `missed` at most.
+    """
+    bits = min(26, max(12, ceil(log2(max(rows, 2)))))
+    p = (1 - _differing(similarity)) ** bits
+    pieces = max(least, ceil(64 / bits))
+    while sum(comb(pieces, k) * p**k * (1 - p) ** (pieces - k) for k in range(least)) > missed:
+        pieces += 1
+    return bits, pieces
+
+
+def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, pieces: int) -> DataFrame:
+    """(id, key, node, mark, pieces): each row's text_key(), a hash of its words, 64 bits of its wide fingerprint, and all its pieces."""
+    ids = docs.select(F.col(quoted(id_col)).alias("id"), text_key(text_col).alias("key"), F.col(quoted(text_col)).cast("binary").alias("text"))
+    spread, place = -(-bits * pieces // 64), 1 << np.arange(bits, dtype=np.int64)
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, marks, found = [], [], []
+            for text in batch.column(2):
+                joined, hashes = _shingles(text.as_py(), shingle)
+                ones = _majority(hashes, spread)
+                nodes.append(_signed(xxhash.xxh64_intdigest(joined, SEED)))
+                marks.append(np.packbits(ones[:64], bitorder="little").view("<i8")[0])
+                found.append(ones[: bits * pieces].reshape(pieces, bits) @ place)
+            columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(marks, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "node", "mark", "pieces"])
+
+    number = F.lit(0).cast("long")
+    made = ids.select("id", "key", number.alias("node"), number.alias("mark"), F.array().cast("array<bigint>").alias("pieces"))
+    return ids.mapInArrow(signed, made.schema)
+
+
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles array<int>): the distinct shingles of texts (node, text), each as 32 bits of its hash."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(_shingles(x.as_py(), shingle)[1].astype(np.uint32)).view(np.int32) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
+
+    return texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(hashed, "node long, shingles array<int>")
+
+
+def _neighbours(listed: DataFrame, bits: int, most: int) -> DataFrame:
+    """(a, b): nodes that follow one another in a list, ordered by the pieces that come next, and that may be near copies.
+
+    So the likest nodes of a list are neighbours. Only those whose marks differ in at most so many bits are put out, and of
+    these only those that share COPY_MEETINGS pieces in all.
+    """
+    after = lambda i, k: F.coalesce(F.get("pieces", i + k), F.get("pieces", i + k - F.size("pieces")))
+    entries = F.transform("pieces", lambda x, i: F.struct(i.alias("place"), x.alias("piece"), (F.shiftleft(after(i, 1), min(bits, 31)) + after(i, 2)).alias("after")))
+    lists = listed.select("node", "mark", F.explode(entries).alias("entry")).select("node", "mark", "entry.*")
+    order = Window.partitionBy("place", "piece", "block").orderBy("after", "node")
+    ahead = F.array(*(F.lead(F.struct("node", "mark"), k).over(order) for k in range(1, COPY_NEIGHBOURS + 1)))
+    following = _cut(lists, _long_lists(lists.select("place", "piece"))).select("node", "mark", ahead.alias("ahead"))
+    following = following.select("node", "mark", F.explode(F.filter("ahead", lambda x: F.bit_count(F.col("mark").bitwiseXOR(x["mark"])) <= most)).alias("next"))
+    near = following.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("next.mark"))) <= most)
+    near = near.select(F.least("node", "next.node").alias("a"), F.greatest("node", "next.node").alias("b")).distinct()
+    near = near.join(listed.select(F.col("node").alias("a"), F.col("pieces").alias("x")), "a")
+    near = near.join(listed.select(F.col("node").alias("b"), F.col("pieces").alias("y")), "b")
+    shared = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return near.where(shared >= COPY_MEETINGS).select("a", "b")
+
+
+def copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY
+) -> DataFrame:
+    """(id, key, first): for each row of docs the least (none, id, key) of its group of near copies; key is text_key().
+
+    Texts are near copies if the sets of their shingles (five words, A-Z lower-cased) have a Jaccard similarity of at least
+    0.8; groups are what hangs together by that. Texts of the same words are one before the search; those without words
+    are copies of one another. SimHash fingerprints wide enough for that similarity are indexed by their pieces; pairs that
+    share two pieces or more, and whose first 64 bits don't differ in far more bits than such copies do, are candidates,
+    and these are compared by their whole sets. A pair at the similarity itself is found with a chance of 0.9 or more,
+    nearer ones with a greater one; the widths follow the number of rows, so the chance is the same at every size.
+
+    A group of n different near copies has n * n pairs. So a list, in the order of the pieces that come next, is compared
+    with the following COPY_NEIGHBOURS of each entry only, the likest ones; as lists of other places hold other parts of a
+    group, groups hang together by these links (figures against all pairs are in README). Only texts of candidates are
+    moved.
+    """
+    bits, pieces = _pieces_for(docs.count(), similarity)
+    q = _differing(similarity)
+    most = ceil(64 * q + 4 * sqrt(64 * q * (1 - q)))
+    rows = materialize(_signatures(docs, id_col, text_col, shingle, bits, pieces), "signatures")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    distinct = rows.groupBy("node").agg(F.min(order).alias("least"), F.any_value("mark").alias("mark"), F.any_value("pieces").alias("pieces"))
+    distinct = materialize(distinct, "distinct")
+    pairs = materialize(_neighbours(distinct.select("node", "mark", "pieces"), bits, most), "candidates")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialize(distinct.join(nodes, "node").select("node", F.col("least.key").alias("key")), "wanted")
+    hint = F.broadcast if wanted.count() <= IDS else lambda df: df
+    texts = docs.select(text_key(text_col).alias("key"), F.col(quoted(text_col)).alias("text")).join(hint(wanted), "key")
+    # Copies of one text are one row before texts are hashed: any of them holds the same words.
+    sets = materialize(_shingle_sets(texts.groupBy("node").agg(F.any_value("text").alias("text")), shingle), "shingles")
+    near = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    links = materialize(near.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"), "links")
+    return rows.select("id", "key", "node").join(_named(distinct.select("node", "least"), links), "node").select("id", "key", "first")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY) -> DataFrame:
+    """One row of each group of copies() stays, with all its columns: that of the least id, then the least text_key().
 
-    Rows with a null id can't be named, so they stay.
+    Rows are told apart by id and text, so different texts that share an id, or have none, are judged each for itself; a
+    null id comes after all others. Of rows that repeat both, the least by a hash of all columns stays. Null, empty and
+    blank texts are one group. Very long texts are taken whole. An empty table gives no rows.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col), id_col)
-    repeated = docs.groupBy(id_col).count().where((F.col("count") > 1) & F.col(id_col).isNotNull())
-    if repeated.isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))
+    rows = materialize(copies(docs, id_col, text_col, shingle, similarity), "copies")
+    of = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    kept = only_first(docs, rows.where(of.eqNullSafe(F.col("first"))).groupBy("id", "key").count().where("count > 1"), id_col, text_col)
+    return without(kept, rows.where(~of.eqNullSafe(F.col("first"))), id_col, text_col)

