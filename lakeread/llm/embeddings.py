@@ -9,8 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize, rank_globally
+from .common import materialize, quoted, rank_globally
 from .components import connected_components
 
 COSINE = 0.98
@@ -18,7 +19,7 @@ PASSES = 12  # at least; more for labels of many vectors
 BITS = 62  # of a pass's signature
 NEIGHBOURS = 32  # that follow a vector in a pass's order and are compared with it
 BLOCK = 8_192  # vectors that one task compares with their neighbours
-MEMBERS = 2_048  # vectors of components that are held at once while links are counted
+MEMBERS = 8_192  # vectors of components that are held at once while links are counted
 MISSED = 0.01  # vectors whose links all passes would miss with a greater chance are crowded
 SAME = 1 - np.arccos(COSINE) / np.pi  # chance that a random hyperplane does not part the ends of the widest link
 SEED = 7
@@ -35,8 +36,8 @@ def _prepared(vectors: DataFrame, id_col: str) -> DataFrame:
     """(id, label, embedding), where the embedding of a vector that can't link is null."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = ~F.exists("embedding", lambda x: x != 0)
-    fit = F.col(id_col).isNotNull() & F.col("label").isNotNull() & ~bad & ~zero
-    return vectors.select(F.col(id_col).cast("long").alias("id"), "label", F.when(fit, F.col("embedding")).alias("embedding"))
+    fit = F.col(quoted(id_col)).isNotNull() & F.col("label").isNotNull() & ~bad & ~zero
+    return vectors.select(F.col(quoted(id_col)).cast("long").alias("id"), "label", F.when(fit, F.col("embedding")).alias("embedding"))
 
 
 def _passes(vectors: int) -> int:
@@ -213,12 +214,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id") -> DataFrame:
     Vectors link if their labels are equal and not null and their cosine, in double precision, is 0.98 or more. Null and
     zero vectors, those with null or non-finite components, and those with a null label or id link with nothing. Vectors
     of different length don't link. Exact copies are merged before the search and link with each other. component_id: the
-    smallest id reachable over links, itself included; kept: it is the row's own. Rows that repeat an id are rows of
+    smallest id reachable over links, itself included; kept: it is the row's own. Ids may be of any type that has an order.
+    Rows that repeat an id are rows of
     their own; where their vectors differ, they are one node and share its links. Other columns are not read.
 
     The passes find a link between components with a chance of 1 - MISSED or more, except between crowded vectors, which are
     all compared; within a component every link is counted.
     """
+    if not isinstance(vectors.schema[id_col].dataType, T.IntegralType):
+        return _by_number(vectors, id_col)
     rows = materialize(_prepared(vectors, id_col), "vectors")
     merged = rows.where("embedding is not null").groupBy("label", "embedding").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     distinct = materialize(merged.withColumn("uid", F.monotonically_increasing_id()), "distinct")
@@ -232,3 +236,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id") -> DataFrame:
         F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "id").alias("component_id"), F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(False)).alias("kept"),
     )
+
+
+def _by_number(vectors: DataFrame, id_col: str) -> DataFrame:
+    """near_duplicates() of vectors whose ids are no integers: these are numbered in their order, and put back at the end."""
+    lean = vectors.select(F.col(quoted(id_col)).alias("name"), "label", "embedding")
+    names = materialize(rank_globally(lean.select("name").where("name is not null").distinct(), "name", name="id"), "names")
+    found = near_duplicates(lean.join(names, "name", "left").select("id", "label", "embedding"), "id")
+    own, first = names.select("id", F.col("name").alias(id_col)), names.select(F.col("id").alias("component_id"), F.col("name").alias("first"))
+    rows = found.join(own, "id", "left").join(first, "component_id", "left")
+    return rows.select(quoted(id_col), "n_links", F.col("first").alias("component_id"), "kept")

@@ -1,201 +1,150 @@
-"""Stupid-backoff language-model scores: n-gram counts of the whole corpus, joined back to every document's n-grams.
-
-Rows of one word each would be ten times the corpus, so tables hold n-grams in packed columns: a row is what one chunk of
-documents has in one hash partition. Counting merges the rows of a partition, and the counts go back to their chunks.
-"""
+"""Stupid-backoff language-model scores: n-gram count tables, joined back to every document's n-grams."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize
 
 ORDER = 2
 BACKOFF = 0.4
-MIN_COUNT = 2  # n-grams of two words and more that are seen less often count as unseen
-CHUNK = 2_000_000  # words of the documents that one row holds, or one document if that is longer
-PARTITION = 1 << 21  # n-grams that one hash partition should hold
+HOLDERS = 2  # documents that must hold an n-gram of two words and more, so that it counts as seen: the scored one and another
+WORD_BITS = 40  # of a word's hash; an n-gram is its words' hashes, so that its parts need no table of their own
+PARTITION = 4_000_000  # n-grams that a task counts
+VOCABULARY = 2_000_000  # a table of more words is joined by shuffle
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Integers as planes of bytes, compressed: small numbers take little room."""
-    planes = values.view(np.uint8).reshape(len(values), -1).T
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+def _encoded(docs: DataFrame) -> DataFrame:
+    """(key, text): what tells rows apart that differ in id or text, and the text as bytes."""
+    return docs.select(_key("doc_id", "text"), F.col("text").cast("binary").alias("text"))
 
 
-def unpack(data: bytes, dtype: type, count: int) -> np.ndarray:
-    if not count:
-        return np.empty(0, dtype)
-    width = np.dtype(dtype).itemsize
-    raw = pa.decompress(data, decompressed_size=count * width, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, count).T).view(dtype).ravel()
+def _key(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(doc_id).isNull(), text).alias("key")
 
 
 class _Hashes(dict):
-    """word -> its 64-bit hash."""
+    """word -> its hash of WORD_BITS."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(word)
+        self[word] = found = xxhash.xxh64_intdigest(word) >> (64 - WORD_BITS)
         return found
 
 
-def _encoder(size: int):
-    """Chunks of documents: ids, lengths in words, distinct word hashes by falling frequency, and the words as places in these."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ids, texts, held, made = _Hashes(), [], [], 0, 0
-        first = TaskContext.get().partitionId() << 32
-
-        def chunk() -> pa.RecordBatch:
-            words = np.concatenate(texts)
-            distinct, places, counts = np.unique(words, return_inverse=True, return_counts=True)
-            by_count = np.argsort(-counts, kind="stable")
-            rank = np.empty(len(distinct), np.int32)
-            rank[by_count] = np.arange(len(distinct), dtype=np.int32)
-            columns = {
-                "chunk": pa.array([first + made], pa.int64()),
-                "ids": pa.array([ids], pa.list_(pa.int64())),
-                "lengths": pa.array([pack(np.array([len(t) for t in texts], np.int32))]),
-                "words": pa.array([pack(rank[places.ravel()])]),
-                "n_words": pa.array([len(words)], pa.int64()),
-                "vocabulary": pa.array([pack(distinct[by_count])]),
-                "n_vocabulary": pa.array([len(distinct)], pa.int64()),
-            }
-            return pa.RecordBatch.from_pydict(columns)
+def _names(n: int) -> list[str]:
+    return [f"w{i}" for i in range(1, n + 1)]
+
+
+def _exploded(docs: DataFrame, n: int, starts: bool = False) -> DataFrame:
+    """(w1, ..., wn, key, k): the different n-grams of each document and how often each occurs; or only the one it starts with."""
+    names = _names(n)
 
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = np.fromiter(map(hashes.__getitem__, (text.as_py() or b"").lower().split()), dtype=np.uint64)
-                if texts and held + len(words) > size:
-                    yield chunk()
-                    ids, texts, held, made = [], [], 0, made + 1
-                ids.append(doc_id)
-                texts.append(words)
-                held += len(words)
+            out: list[tuple] = []
+            size = 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                split = (text.as_py() or b"").lower().split()
+                words = np.fromiter(map(hashes.__getitem__, split[:n] if starts else split), dtype=np.int64)
+                if len(words) < n:
+                    continue
+                grams = np.stack([words[i : len(words) - n + 1 + i] for i in range(n)])
+                if n == 1:
+                    found, counts = np.unique(grams[0], return_counts=True)
+                    found = found[None]
+                else:
+                    order = np.lexsort(grams)
+                    grams = grams[:, order]
+                    new = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0))))
+                    found, counts = grams[:, new], np.diff(np.append(new, grams.shape[1]))
+                out.append((found, np.full(len(counts), key, np.int64), counts.astype(np.int32)))
+                size += len(counts)
+                if size > 200_000:
+                    yield _batch(out, names)
+                    out, size = [], 0
                 if len(hashes) > 500_000:
                     hashes.clear()
-        if texts:
-            yield chunk()
+            if out:
+                yield _batch(out, names)
 
-    return encode
+    schema = T.StructType([T.StructField(c, T.LongType(), False) for c in (*names, "key")] + [T.StructField("k", T.IntegerType(), False)])
+    return _encoded(docs).mapInArrow(explode, schema)
 
 
-def _grams(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
-    """For n = 1 to order, the hash of the n words that end at each place; those that begin before their text are 0."""
-    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    found = [words]
-    for n in range(2, order + 1):
-        before = np.concatenate((np.zeros(1, np.uint64), found[-1][:-1]))
-        mixed = (before ^ (before >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(32)
-        mixed = mixed * np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(29)
-        found.append(np.where(place >= n - 1, np.maximum(mixed, np.uint64(1)), np.uint64(0)))
-    return found
+def _batch(out: list[tuple], names: list[str]) -> pa.RecordBatch:
+    grams, keys, counts = (np.concatenate(x, axis=-1) for x in zip(*out))
+    return pa.RecordBatch.from_arrays([*map(pa.array, grams), pa.array(keys), pa.array(counts)], [*names, "key", "k"])
 
 
-def _decoded(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    lengths = unpack(row["lengths"], np.int32, len(row["ids"]))
-    words = unpack(row["vocabulary"], np.uint64, row["n_vocabulary"])[unpack(row["words"], np.int32, row["n_words"])]
-    return words, lengths
+def _values(grams: DataFrame, lower: DataFrame, n: int, backoff: float, hint) -> DataFrame:
+    """(w1, ..., wn, n, value) of n-grams with n and holders: the logarithm of what an occurrence scores.
 
-
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct hashes but 0, how often each occurs, and for each place its number among them (0: none, else from 1)."""
-    distinct, places, counts = np.unique(np.append(hashes, np.uint64(0)), return_inverse=True, return_counts=True)
-    return distinct[1:], counts[1:], places.ravel()[:-1]
+    lower: the same of (n-1)-grams. A seen n-gram scores its count over that of its first n - 1 words, one that no other
+    document holds the score of its last n - 1 words times backoff.
+    """
+    names, shorter = _names(n), _names(n - 1)
+    first = hint(lower.select(*(F.col(c).alias(f"a{c}") for c in shorter), F.col("n").alias("before")))
+    last = hint(lower.select(*(F.col(c).alias(f"b{c}") for c in shorter), F.col("value").alias("less")))
+    rows = grams.join(first, [F.col(w) == F.col(f"a{w}") for w in shorter])
+    rows = rows.join(last, [F.col(w) == F.col(f"b{s}") for w, s in zip(names[1:], shorter)])
+    seen = F.log(F.col("n") / F.col("before"))
+    value = F.when(F.col("holders") >= HOLDERS, seen).otherwise(F.lit(float(np.log(backoff))) + F.col("less"))
+    return rows.select(*names, "n", value.alias("value"))
 
 
-def _exploder(order: int, bits: int):
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, row in batch.iterrows():
-                words, lengths = _decoded(row)
-                for n, hashes in enumerate(_grams(words, lengths, order), 1):
-                    distinct, counts, _ = _distinct(hashes)
-                    ends = [0, *np.searchsorted(distinct, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(distinct)] if bits else [0, len(distinct)]
-                    out = []
-                    for part, (s, e) in enumerate(zip(ends, ends[1:])):
-                        if e > s:
-                            gaps = np.diff(distinct[s:e], prepend=np.uint64(0))
-                            out.append((n, part, row["chunk"], e - s, pack(gaps), pack(counts[s:e].astype(np.int64))))
-                    yield pd.DataFrame(out, columns=["n", "part", "chunk", "size", "gaps", "counts"])
-
-    return explode
-
-
-def _total(group: pd.DataFrame) -> pd.DataFrame:
-    """The corpus counts of each chunk's n-grams, in one hash partition."""
-    sizes = group["size"].tolist()
-    hashes = [np.cumsum(unpack(g, np.uint64, k), dtype=np.uint64) for g, k in zip(group["gaps"], sizes)]
-    counts = np.concatenate([unpack(c, np.int64, k) for c, k in zip(group["counts"], sizes)])
-    _, places = np.unique(np.concatenate(hashes), return_inverse=True)
-    totals = np.bincount(places.ravel(), weights=counts).astype(np.int64)[places.ravel()]
-    cut = np.split(totals, np.cumsum(sizes)[:-1])
-    return pd.DataFrame({"chunk": group["chunk"], "n": group["n"], "part": group["part"], "size": group["size"], "totals": [pack(t) for t in cut]})
-
-
-def _scorer(order: int, tokens: int, backoff: float, min_count: int):
-    def scored(chunk: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, row in chunk.iterrows():
-            words, lengths = _decoded(row)
-            known, score, before = totals.sort_values(["n", "part"]), None, None
-            for n, hashes in enumerate(_grams(words, lengths, order), 1):
-                own = known[known["n"] == n]
-                flat = [unpack(t, np.int64, k) for t, k in zip(own["totals"], own["size"])]
-                count = np.concatenate([np.zeros(1, np.int64), *flat])[_distinct(hashes)[2]]
-                if n == 1:
-                    score = np.log(count / tokens) if len(count) else np.zeros(0)
-                else:
-                    context = np.concatenate((np.ones(1, np.int64), before[:-1])) if len(before) else before
-                    seen = count >= min_count
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        direct = np.log(count / np.maximum(context, 1))
-                    # Where the n words would begin before the text, the shorter n-gram is all there is: no penalty.
-                    score = np.where(seen, direct, np.where(hashes == 0, score, score + np.log(backoff)))
-                before = count
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            sums = np.bincount(owner, weights=score, minlength=len(lengths))
-            out.append(pd.DataFrame({"doc_id": pd.array(row["ids"], dtype="Int64"), "n_tokens": lengths.astype(np.int64), "log_score": sums}))
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_tokens": [], "log_score": []})
-
-    return scored
-
-
-def scores(
-    docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT, chunk: int = CHUNK, partition: int = PARTITION
-) -> DataFrame:
+def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, partition: int = PARTITION, vocabulary: int = VOCABULARY) -> DataFrame:
     """One row per row of docs: (doc_id, n_tokens, log_score, mean_log_score).
 
     Words are runs without ASCII blanks, A-Z lower-cased. Counts are of all documents, and n-grams don't cross from one
     to the next. A word scores count(n-gram) / count(its first n - 1 words) for the longest n up to order whose n-gram is
-    seen min_count times at least, times backoff for each step down from the longest that fits in the text before it;
-    a single word scores count / all words. log_score is the sum of natural logarithms, mean_log_score the sum by word,
-    null for texts without words (null, empty, blank), whose log_score is 0. Repeated rows count and are scored each.
-    n-grams are told apart by 64-bit hashes. Other columns are not read.
-
-    Frequent n-grams are summed within a chunk before they are shuffled, so no partition grows with how often one occurs.
-    A task holds one chunk (of that many words) or one hash partition (of that many n-grams), and a shuffled row about
-    chunk * partition / corpus of them: both should be raised with the executors' memory on corpora beyond some 10**12
-    words, so that rows hold a hundred n-grams still. Chunks are cut within the input's partitions.
+    seen, times backoff for each step down from the longest that fits in the text before it; a single word scores count /
+    all words. An n-gram is seen if another document holds it too: by its own n-grams alone each text would be perfectly
+    likely, and never back off. log_score is the sum of natural logarithms, mean_log_score the sum by word, null for texts
+    without words (null, empty, blank), whose log_score is 0. Repeated rows are documents like others and are scored each;
+    ids may be null and of any type. An empty table gives no rows. Words are told apart by 40 bits of their hashes. Other
+    columns are not read.
+
+    What an n-gram scores does not depend on the document. So documents are exploded to rows of their different n-grams,
+    dealt once by hash; each partition counts its n-grams, and joins what they score to the rows that it has. A row is one
+    document's n-gram, however often it occurs there, so no n-gram has more rows than there are documents. Shorter
+    n-grams' tables are joined to the table of n-grams, not to the rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    schema = "chunk long, ids array<long>, lengths binary, words binary, n_words long, vocabulary binary, n_vocabulary long"
-    chunks = materialize(texts.mapInArrow(_encoder(chunk), schema), "chunks")
-    tokens = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(0, (tokens // partition).bit_length())
-    exploded = chunks.mapInPandas(_exploder(order, bits), "n int, part long, chunk long, size long, gaps binary, counts binary")
-    totals = exploded.groupBy("n", "part").applyInPandas(_total, "chunk long, n int, part long, size long, totals binary")
-    scored = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInPandas(
-        _scorer(order, tokens, backoff, min_count), "doc_id long, n_tokens long, log_score double"
+    words = materialize(_exploded(docs, 1).groupBy("w1").agg(F.sum("k").alias("n")), "words")
+    size, tokens = words.agg(F.count("*"), F.sum("n")).first()
+    known = words.withColumn("value", F.log(F.col("n") / F.lit(float(tokens or 1))))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(tokens or 0) // partition)
+    hint = F.broadcast if size <= vocabulary else lambda df: df
+    found = []
+    for n in range(1, order + 1):
+        names = _names(n)
+        rows = _exploded(docs, n, starts=n < order)
+        if n == 1:
+            found.append((rows if order > 1 else _exploded(docs, 1)).join(hint(known), names))
+            continue
+        dealt = (rows if n == order else _exploded(docs, n)).repartition(parts, *names)
+        # The count reads all columns that the join reads, else they would be dealt twice.
+        counts = dealt.groupBy(*names).agg(F.sum("k").alias("n"), F.count(F.when(F.col("k") > 0, F.col("key"))).alias("holders"))
+        known = _values(counts, known, n, backoff, hint)
+        if n < order:
+            known, hint = materialize(known, "grams"), lambda df: df
+            found.append(rows.join(known, names))
+        else:
+            found.append(dealt.join(known.hint("merge"), names))  # Spark judges rows by the texts that they are exploded from
+    parts_of = [f.select("key", "k", (F.col("k") * F.col("value")).alias("score")) for f in found]
+    sums = reduce(DataFrame.union, parts_of).groupBy("key").agg(F.sum("score").alias("score"), F.sum("k").alias("tokens"))
+    rows = docs.select("doc_id", _key("doc_id", "text"))
+    copies = rows.groupBy("key").agg(F.count("*").alias("copies"))
+    sums = sums.join(copies, "key").select("key", (F.col("score") / F.col("copies")).alias("score"), (F.col("tokens") / F.col("copies")).cast("long").alias("n"))
+    n, score = F.coalesce("n", F.lit(0)).cast("long"), F.coalesce("score", F.lit(0.0))
+    return rows.join(sums, "key", "left").select(
+        "doc_id", n.alias("n_tokens"), score.alias("log_score"), F.when(n > 0, score / n).alias("mean_log_score")
     )
-    return scored.withColumn("mean_log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")))

@@ -66,8 +66,8 @@ def op7_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_trigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trigrams, and n-grams seen once count as well; op7_language_model_scores is held to the bigrams of its SQL."""
-    found = language_model.scores(_table(spark, sf_dir, "documents"), order=3, min_count=1)
+    """The same with trigrams; op7_language_model_scores is held to bigrams (figures in README)."""
+    found = language_model.scores(_table(spark, sf_dir, "documents"), order=3)
     return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
 
@@ -129,9 +129,9 @@ WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
 ), t AS (SELECT k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, unnest(list_prepend(NULL, w[:-2])) AS prior FROM d WHERE len(w) > 0),
 one AS (SELECT word, count(*) AS n FROM t GROUP BY 1),
-two AS (SELECT prior, word, count(*) AS n FROM t WHERE i > 1 GROUP BY 1, 2),
+two AS (SELECT prior, word, count(*) AS n, count(DISTINCT k) AS holders FROM t WHERE i > 1 GROUP BY 1, 2),
 s AS (
-  SELECT k, sum(CASE WHEN i = 1 THEN ln(a.n / total) WHEN two.n >= 2 THEN ln(two.n / b.n) ELSE ln(0.4) + ln(a.n / total) END) AS score
+  SELECT k, sum(CASE WHEN i = 1 THEN ln(a.n / total) WHEN two.holders >= 2 THEN ln(two.n / b.n) ELSE ln(0.4) + ln(a.n / total) END) AS score
   FROM t JOIN one a USING (word) LEFT JOIN one b ON t.prior = b.word LEFT JOIN two ON t.prior = two.prior AND t.word = two.word,
     (SELECT count(*)::DOUBLE AS total FROM t)
   GROUP BY 1
@@ -197,23 +197,28 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)
 
 
+#: A sentence may be wrapped over pieces; sixteen are more than any in the tables is wrapped over.
 _LICENSES = rf"""
 WITH known(id, sentence) AS (VALUES {_values(list(licenses.SENTENCES.items()))}),
 rules(rule, license, ids) AS (VALUES {_values([(k, *v) for k, v in licenses.RULES.items()])}),
-s AS (
-  SELECT DISTINCT doc_id, text, unnest(range(len(l))) AS place, unnest(l) AS piece
-  FROM (SELECT doc_id, text, string_split(regexp_replace(text, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)) AS l FROM documents)
-), k AS (
-  SELECT doc_id, text, place, id, row_number() OVER (PARTITION BY doc_id, text ORDER BY place) AS turn
-  FROM s JOIN known ON sentence = trim(regexp_replace(
-    translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'))
-), m AS (
+l AS (
+  SELECT DISTINCT doc_id, text, [trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')) FOR x IN string_split(regexp_replace(text, '([^ \t\r\n][.!?:;])[ \t\r]+', '\1' || chr(10), 'g'), chr(10))] AS pieces
+  FROM documents
+), s AS (SELECT doc_id, text, pieces, unnest(range(len(pieces))) AS place FROM l),
+likely AS (SELECT s.* FROM s WHERE pieces[place + 1] <> '' AND EXISTS (SELECT 1 FROM known WHERE starts_with(sentence, pieces[place + 1]))),
+joined AS (SELECT doc_id, text, place, array_to_string(pieces[place + 1 : place + n], ' ') AS sentence FROM likely, range(1, 17) AS r(n) WHERE place + n <= len(pieces)),
+found AS (SELECT doc_id, text, place, arg_max(id, length(sentence)) AS id FROM joined JOIN known USING (sentence) GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY place) AS turn FROM found WHERE id <> 'rights-reserved'
+  UNION ALL SELECT *, -row_number() OVER (PARTITION BY doc_id, text ORDER BY place) * 100 FROM found WHERE id = 'rights-reserved'),
+m AS (
   SELECT a.doc_id, a.text, a.turn, rule, license, len(ids) AS n, min(b.place)::INT AS first_sentence, max(b.place)::INT AS last_sentence,
-    list(b.id ORDER BY b.turn) AS found, any_value(ids) AS ids
+    list(b.id ORDER BY b.turn) AS found, list(b.place ORDER BY b.turn) AS places, any_value(ids) AS ids
   FROM k a JOIN rules ON a.id = ids[1] JOIN k b ON a.doc_id = b.doc_id AND a.text = b.text AND b.turn BETWEEN a.turn AND a.turn + len(ids) - 1
   GROUP BY ALL
 )
-SELECT doc_id, rule, license, first_sentence, last_sentence FROM m WHERE found = ids
+SELECT doc_id, rule, license, first_sentence, last_sentence FROM m
+WHERE found = ids AND len([1 FOR i IN range(2, len(places) + 1) IF places[i] - places[i - 1] > {licenses.APART}]) = 0
 QUALIFY n = max(n) OVER (PARTITION BY doc_id, text, turn)
 """
 

@@ -16,6 +16,8 @@ TREES, DEPTH, STEP, SEED = 20, 4, 0.3, 11
 TRAINING_ROWS = 200_000  # about as many labelled URLs, chosen by hash, train the trees
 SMOOTHING = 2.0  # pseudo-counts of a suffix's share
 SUFFIXES = 100_000  # a table of more suffixes is joined by shuffle
+FOLDS = 5  # a training row's suffix statistics are of the labelled URLs of the other folds
+HELD_OUT = 0  # of pmod(xxhash64(url), 10): URLs that train nothing and are in no statistics, so that the trees can be judged
 FEATURES = (
     "length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "labels", "hyphens", "secure", "suffix_share", "suffix_seen",
 )
@@ -67,13 +69,18 @@ def _lexical(urls: DataFrame) -> DataFrame:
     return urls.withColumns(named).withColumn("suffix", F.regexp_extract("host", r"([^.]*)$", 1))
 
 
+def _held_out(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(10)) == HELD_OUT
+
+
 def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """One row per row of pages: (page_id, host, path, rule, verdict, score).
 
     verdict is the rule's where one fits, else 'block' if the trees' score (0 to 1) is 0.5 or more. The URLs that rules
     fit are the labelled ones: they train the trees (a documented number of them, chosen by hash) and give the suffix
-    statistics (all of them): the smoothed share of blocked URLs by last label of the host, and how many there are.
-    If only one verdict occurs among them, it is everyone's; if there are none, 'allow'. Null URLs and those without
+    statistics (all of them): the smoothed share of blocked URLs by last label of the host, and how many there are; in
+    training those of the other folds alone, so that no label is an input of its own row. One labelled URL in ten, by
+    hash, is held out of both. If only one verdict occurs among them, it is everyone's; if there are none, 'allow'. Null URLs and those without
     :// have an empty host and path. Repeated rows are judged alike. Other columns are not read.
     """
     urls = pages.select("page_id", "url")
@@ -90,17 +97,29 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
         one = "block" if rows and blocked else "allow"
         return urls.select(*shown, F.coalesce("ruled", F.lit(one)).alias("verdict"), F.lit(float(one == "block")).alias("score"))
     prior = blocked / rows
-    suffixes = known.groupBy("suffix").agg(
-        ((F.sum("label") + SMOOTHING * prior) / (F.count("*") + SMOOTHING)).alias("suffix_share"), F.log1p(F.count("*").cast("double")).alias("suffix_seen")
+    label, fold = (F.col("ruled") == "block").cast("double"), F.floor(F.pmod(F.xxhash64("url"), F.lit(10 * FOLDS)) / 10).cast("int")
+    known = known.where(~_held_out(F.col("url")))
+    by_fold = materialize(known.groupBy("suffix", fold.alias("fold")).agg(F.count("*").alias("n"), F.sum("label").alias("bad")), "suffixes")
+    total = by_fold.groupBy("suffix").agg(F.sum("n").alias("all"), F.sum("bad").alias("all_bad"))
+    folds = F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("fold")  # the last one, which holds no URL, is left out of nothing
+    suffixes = total.select("*", folds).join(by_fold, ["suffix", "fold"], "left").fillna(0)
+    bad, n = F.col("all_bad") - F.col("bad"), F.col("all") - F.col("n")
+    suffixes = materialize(
+        suffixes.select("suffix", "fold", ((bad + SMOOTHING * prior) / (n + SMOOTHING)).alias("suffix_share"), F.log1p(n.cast("double")).alias("suffix_seen")), "shares"
     )
-    suffixes = materialize(suffixes, "suffixes")
     if suffixes.count() <= SUFFIXES:
         suffixes = F.broadcast(suffixes)
-    urls = urls.join(suffixes, "suffix", "left").fillna({"suffix_share": prior, "suffix_seen": 0.0})
-    urls = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(urls)
+
+    def featured(urls: DataFrame) -> DataFrame:
+        joined = urls.join(suffixes, ["suffix", "fold"], "left").fillna({"suffix_share": prior, "suffix_seen": 0.0})
+        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(joined)
+
     chosen = F.pmod(F.xxhash64("url", "page_id"), F.lit(1 << 20)) < min(1.0, TRAINING_ROWS / rows) * (1 << 20)
-    training = urls.where(F.col("ruled").isNotNull() & chosen).select("features", (F.col("ruled") == "block").cast("double").alias("label"))
+    training = urls.where(F.col("ruled").isNotNull() & chosen & ~_held_out(F.col("url"))).withColumns({"fold": fold, "label": label})
+    training = featured(training).select("features", "label")
+    if training.groupBy("label").count().count() < 2:  # all URLs of a verdict are held out
+        return urls.select(*shown, F.coalesce("ruled", F.lit("block" if prior >= 0.5 else "allow")).alias("verdict"), F.lit(prior).alias("score"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, cacheNodeIds=False, checkpointInterval=-1)
-    scored = trees.fit(training).transform(urls).withColumn("score", vector_to_array("probability")[1])
+    scored = trees.fit(training).transform(featured(urls.withColumn("fold", F.lit(FOLDS)))).withColumn("score", vector_to_array("probability")[1])
     learned = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select(*shown, F.coalesce("ruled", learned).alias("verdict"), "score")

@@ -1,8 +1,11 @@
+import math
 import random
+import re
 import zlib
 
+import numpy as np
 import pytest
-from lakeread.llm import quality, toxicity
+from lakeread.llm import common, quality, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -11,6 +14,151 @@ def held_out(i):
     return zlib.crc32(str(i).encode()) % 5 == 0
 
 
+def plain_quality(model, text):
+    """The score of one text by loops over its words and passages."""
+    words, w = (text or "").encode(errors="replace").split(), model.weights
+    passages = [words[i : i + 64] for i in range(0, len(words), 64)] or [[]]
+    codes, weights, before = [], [], None
+    for passage in passages:
+        total = np.zeros(quality.DIM)
+        for word in passage:
+            total += model.table[zlib.crc32(word.lower()) % quality.ROWS] + model.table[zlib.crc32(b"#" + quality._shape(word.decode(errors="replace")).encode()) % quality.ROWS]
+            total += model.table[quality.REPEATED] * (word == before)
+            before = word
+        code = np.tanh(total / max(1, len(passage)) @ w["encode"] + w["encode_bias"])
+        gate = np.tanh(code @ w["v"]) / (1 + np.exp(-(code @ w["u"])))
+        codes.append(code)
+        weights.append(math.exp(float(gate @ w["attend"])))
+    pooled = sum(a * c for a, c in zip(weights, codes)) / sum(weights)
+    return 1 / (1 + math.exp(-(float(pooled @ w["out"]) + model.bias)))
+
+
+def plain_toxicity(model, text):
+    """The score of one text by loops over its windows of every width."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode(errors="replace")) or [b""]
+    vectors = [sum(model.table[zlib.crc32(x) % toxicity.ROWS] for x in (w, b"4" + w[:4], b"5" + w[:5])) for w in words] + [np.zeros(toxicity.DIM)] * 2
+    hidden = []
+    for width, kernel, bias in zip(toxicity.WIDTHS, model.kernels, model.biases):
+        windows = [sum(vectors[i + j] @ kernel[j] for j in range(width)) + bias for i in range(len(words))]
+        hidden += list(np.maximum(np.max(windows, axis=0), 0))
+    counts = {k: sum(w.decode(errors="replace") in v.split() for w in words) for k, v in toxicity.STOP_WORDS.items()}
+    # A word of several languages is one of the last of them.
+    last = {w: k for k, v in toxicity.STOP_WORDS.items() for w in v.split()}
+    counts = {k: sum(last.get(w.decode(errors="replace")) == k for w in words) for k in counts}
+    language = max(counts, key=counts.get) if any(counts.values()) else "other"
+    z = float(np.array(hidden) @ model.out) + model.out_bias - model.thresholds.get(language, model.thresholds["other"])
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+TEXTS = [None, "", " ", "x", "The the THE of und der der", "a1 !! ?? 99 " * 40, "le les des mot " * 100 + "rotten", "É é ß " * 65, "y " * 64, "y " * 65, "\ud800 odd"]
+
+
+@pytest.mark.parametrize("module, plain", [(quality, plain_quality), (toxicity, plain_toxicity)])
+def test_scores_match_plain_loops(module, plain):
+    rnd = random.Random(5)
+    sample = [(i, " ".join(rnd.choice(["good", "words", "rotten", "the", "der", "x", "!!"]) for _ in range(rnd.choice([1, 30, 150]))), i % 2) for i in range(80)]
+    encode = (lambda t: None if t is None else t.encode(errors="replace")) if module is quality else (lambda t: t)
+    model = module.train([(i, encode(t), y) for i, t, y in sample])
+    texts = TEXTS + [t for _, t, _ in sample]
+    got = model.scores([encode(t) for t in texts], module.Vocabulary())
+    assert np.allclose(got, [plain(model, t) for t in texts], atol=1e-4)
+
+
+class Recorder:
+    """Stands in for the optimiser and keeps the gradients."""
+
+    def __init__(self):
+        self.grads = {}
+
+    def step(self, key, value, grad, rows=None):
+        full = np.zeros_like(value)
+        full[slice(None) if rows is None else rows] = grad
+        self.grads[key] = full
+
+
+def check_gradients(loss, named, grads, rnd):
+    """Differences of the loss against the gradients, at entries that count."""
+    for key, value in named.items():
+        flat, grad = value.reshape(-1), grads[key].reshape(-1)
+        places = np.argsort(-np.abs(grad))[:3].tolist() + rnd.sample(range(len(flat)), 2)
+        for i in places:
+            old, step = flat[i], 1e-5
+            flat[i] = old + step
+            up = loss()
+            flat[i] = old - step
+            down = loss()
+            flat[i] = old
+            assert abs((up - down) / (2 * step) - grad[i]) < 1e-4 + 0.02 * abs(grad[i]), (key, i)
+
+
+def test_gradients_of_attention():
+    rnd = random.Random(7)
+    texts = [" ".join(rnd.choice(["a", "B", "c!", "dd", "dd"]) for _ in range(n)).encode() for n in (3, 70, 150)]
+    model = quality.train([(0, b"a", 0), (1, b"B", 1)])
+    model.table, model.weights = model.table.astype(float), {k: v.astype(float) for k, v in model.weights.items()}
+    vocabulary, y, seen = quality.Vocabulary(), np.array([1.0, 0.0, 1.0]), Recorder()
+    docs, bias = [quality._rows(t, vocabulary) for t in texts], model.bias
+    quality._train_batch(model, seen, docs, vocabulary, y)
+    model.bias = bias
+
+    def loss():
+        p = model.forward(*model.means(docs, vocabulary))["p"]
+        return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+    seen.grads["table"][quality.REPEATED] += seen.grads.pop("repeated")
+    check_gradients(loss, {"table": model.table, **model.weights}, seen.grads, rnd)
+
+
+def test_gradients_of_convolution():
+    rnd = random.Random(8)
+    model = toxicity.train([(i, "fine egg" if i % 2 else "rotten egg", 1 - i % 2) for i in range(40)])
+    model.table, model.out = model.table.astype(float), model.out.astype(float)
+    model.kernels, model.biases = [k.astype(float) for k in model.kernels], [b.astype(float) for b in model.biases]
+    vocabulary, y, weight, seen = toxicity.Vocabulary(), np.array([1.0, 0.0, 1.0]), np.array([1.0, 0.5, 2.0]), Recorder()
+    places = [np.array([vocabulary[w] for w in t.split()]) for t in (b"rotten egg here", b"fine egg", b"an egg that is rotten")]
+    docs, bias = [vocabulary.rows(p) for p in places], model.out_bias
+    toxicity._train_batch(model, seen, docs, y, weight)
+    model.out_bias = bias
+
+    def loss():
+        total = 0.0
+        for d, t, w in zip(docs, y, weight):
+            x = np.vstack([model.table[d].sum(axis=1), np.zeros((2, toxicity.DIM))])
+            h = np.concatenate([np.maximum(model.convolved(x, k).max(axis=0), 0) for k in range(len(toxicity.WIDTHS))])
+            p = 1 / (1 + np.exp(-(h @ model.out + model.out_bias)))
+            total -= w * (t * np.log(p) + (1 - t) * np.log(1 - p)) / len(docs)
+        return float(total)
+
+    named = {"table": model.table, "out": model.out} | {("kernel", k): v for k, v in enumerate(model.kernels)} | {("bias", k): v for k, v in enumerate(model.biases)}
+    check_gradients(loss, named, seen.grads, rnd)
+
+
+def test_the_sample_is_bounded_and_never_empty(spark, monkeypatch):
+    """One overlong text among the labelled ones costs itself alone; repeated ids count once; both labels stay."""
+    monkeypatch.setattr(common, "SAMPLE_CHARS", 2_000)
+    monkeypatch.setattr(common, "LONGEST_CHARS", 500)
+    docs = [(f"d-{i}", "x" * (4_000 if i == 7 else 20)) for i in range(120)] + [("d-1", "another"), (None, "y")]
+    labels = [(f"d-{i}", i % 2, None) for i in range(120)] + [("d-1", 1, 1), (None, 1, 1)]
+    args = spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(labels, "doc_id string, quality int, toxic int")
+    sample = common.labelled_sample(*args, "quality", 1000)
+    ids = [i for i, _, _ in sample]
+    assert len(ids) == len(set(ids)) and "d-7" not in ids and not any(held_out(i) for i in ids)
+    assert {y for _, _, y in sample} == {0, 1} and sum(len(t) for _, t, _ in sample) <= 2_000
+    assert all(30 <= sum(y == k for _, _, y in sample) for k in (0, 1))
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_rows_of_odd_columns_are_kept_whole(spark, module):
+    rows = [("a-1", "b c", 1, 2, [3], {"k": 4}), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, `a.b` int, `x-y` int, `my col` array<int>, `row` map<string,int>")
+    labels = spark.createDataFrame([("a-1", 1, 0)], "doc_id string, quality int, toxic int")
+    model = module.fit(docs, labels)
+    kept = module.keep(docs, model)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()))
+    assert len(module.score(docs, model).collect()) == 2
+
+
 @pytest.fixture(scope="module")
 def made(spark):
     """Texts of two kinds: rude ones hold a rude word, poor ones are shouted."""

@@ -109,13 +109,15 @@ def test_licences(spark):
         (3, f"{mit[0]}. {mit[2]}."),  # one is missing
         (4, f"{mit[1]}. {mit[0]}. {mit[2]}."),  # out of order
         (5, ". ".join(bsd)), (6, ". ".join(bsd[:3])), (7, f"{mit[0]}. Unknown words between. {mit[1]}. And more. {mit[2]}."),
-        (8, f"{mit[0]}. all rights reserved. {mit[1]}. {mit[2]}."),  # another known one between
+        (8, f"{mit[0]}. all rights reserved. {mit[1]}. {mit[2]}."),  # passed over
+        (15, f"{mit[0]}. {licenses.SENTENCES['isc-as-is']}. {mit[1]}. {mit[2]}."),  # another known one between
+        (16, f"{mit[0]}. {'Words. ' * 70}{mit[1]}. {mit[2]}."),  # too far apart
         (9, "Released under the MIT License. " * 3_000), (10, None), (11, ""), (12, "released under the mit licenses."), (13, "Licensed under CC BY-NC 4.0. No."),
         (None, "released under the MIT license"), (1, "Hello there. Released under the MIT License.\nMore."), (14, "This\nRELEASED UNDER   THE “MIT” LICENSE"),
     ]
     df = spark.createDataFrame([(i, t, "clash", 0) for i, t in docs], "doc_id long, text string, rule string, at int").repartition(3)
     got = sorted((r["doc_id"] or -1, r["rule"], r["first_sentence"], r["last_sentence"]) for r in licenses.detect(df).collect())
-    want = [(1, "mit-by-notice", 1, 1), (2, "mit-text", 0, 3), (5, "bsd-3-text", 0, 3), (6, "bsd-2-text", 0, 2), (7, "mit-text", 0, 4), (13, "cc-by-nc-by-notice", 0, 0), (-1, "mit-by-notice", 0, 0)]
+    want = [(1, "mit-by-notice", 1, 1), (2, "mit-text", 0, 3), (5, "bsd-3-text", 0, 3), (6, "bsd-2-text", 0, 2), (7, "mit-text", 0, 4), (8, "mit-text", 0, 3), (13, "cc-by-nc-by-notice", 0, 0), (-1, "mit-by-notice", 0, 0)]
     want += [(9, "mit-by-notice", i, i) for i in range(3_000)]
     assert got == sorted(want)
     assert licenses.detect(df.limit(0)).collect() == []
@@ -158,6 +160,76 @@ def test_wrapped_and_commented_licences(spark):
     assert got == want
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+BSD = """Copyright (c) 2020, Somebody. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+APACHE = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""
+STANDARD = {
+    "MIT": MIT, "BSD-3-Clause": BSD, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "LGPL-2.1-or-later": GPL.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"),
+    "AGPL-3.0-or-later": GPL.replace("GNU General", "GNU Affero General"), "ISC": ISC, "MPL-2.0": MPL, "Zlib": ZLIB, "Unlicense": UNLICENSE, "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003".replace(" - August 17th, 2003", ""),
+    "LGPL-3.0-only": "SPDX-License-Identifier: LGPL-3.0-only", "CC0-1.0": "SPDX-License-Identifier: CC0-1.0",
+}
+
+
+def test_standard_texts_are_found_however_they_are_laid_out(spark):
+    """Wrapped at 72 and 80 signs, behind the signs of comments, and all on one line."""
+    docs = []
+    for name, text in STANDARD.items():
+        paragraphs = text.split("\n\n")
+        for width in (72, 80):
+            wrapped = [line for p in paragraphs for line in [*textwrap.wrap(p, width), ""]]
+            for mark in ("", "# ", "// ", " * ", "; ", "-- "):
+                docs.append((name, "Some words before.\n" + "\n".join(mark + line for line in wrapped) + "\nAnd after."))
+        docs.append((name, "".join(p.strip() + (" " if p[-1] in ".:;" else "\n") for p in paragraphs)))  # titles and addresses stand alone
+        docs.append((name, "\r\n".join(p.strip() for p in paragraphs)))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id int, text string").repartition(4)
+    got = defaultdict(set)
+    for r in licenses.detect(df, rules=licenses.GRANTS).collect():
+        got[r["doc_id"]].add(r["license"])
+    missed = [(name, text[:200]) for i, (name, text) in enumerate(docs) if got[i] != {name}]
+    assert not missed
+
+
 def test_every_rule_uses_known_sentences_in_normal_form(spark):
     assert {i for _, ids in licenses.RULES.values() for i in ids} <= set(licenses.SENTENCES)
     df = spark.createDataFrame(list(licenses.SENTENCES.items()), "id string, s string")
@@ -226,3 +298,36 @@ def test_repeated_records_and_records_without_responses(spark):
     assert got == [(2, "resolved", 1), (2, "resolved", 1), (3, "missing", None)]
     assert {r["status"] for r in revisits.resolve(spark.createDataFrame([visit], schema)).collect()} == {"missing"}
     assert revisits.resolve(spark.createDataFrame([response], schema)).collect() == []
+
+
+def test_headers_that_differ_in_capitals_only_and_very_long_urls(spark):
+    schema = "id string, url string, ts long, kind string, etag string, last_modified string, digest string, payload_length long, headers map<string,string>"
+    long_url = "http://h/" + "x" * 200_000
+    rows = [
+        ("a", long_url, 1, "response", "e", None, None, 5, {"ETag": "1", "etag": "2", "X": "y", "x": "z"}),
+        ("b", "https://www.h/" + "x" * 200_000 + "/", 2, "revisit", "W/e", None, None, None, {"DATE": "1", "Date": "2", "date": "3", "Content-Length": "9"}),
+        ("c", long_url, 3, "revisit", "e", None, None, None, None),
+    ]
+    got = {r["id"]: (r["status"], r["refers_to"], r["headers"]) for r in revisits.resolve(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"b": ("resolved", "a", {"etag": "2", "x": "z", "date": "3"}), "c": ("resolved", "a", {"etag": "2", "x": "z"})}
+
+
+def test_mixing_spreads_rows_without_an_id_and_takes_long_texts_whole(spark):
+    docs = [(None, f"words of row {i} and more", "s") for i in range(400)] + [(None, None, "s")] * 50 + [(1, "w " * 300_000, "t"), (2, "w", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    rows = mixing.mix(df).collect()
+    assert len(rows) == len(docs) and max(r["size"] for r in rows) == 300_000
+    for size in {r["source_size"] for r in rows}:
+        own = [r for r in rows if r["source_size"] == size]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+    again = mixing.mix(df.repartition(3)).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
+def test_a_window_of_many_items_is_one_row_for_a_document(spark):
+    shared = " ".join(f"b{i}" for i in range(12))
+    items = spark.createDataFrame([(i, f"{shared} item {i}") for i in range(300)], "item_id int, text string")
+    docs = spark.createDataFrame([(f"d{i}", f"{i} {shared}") for i in range(20)], "doc_id string, text string")
+    worded = docs.select("doc_id", decontaminate.words_of(docs["text"]).alias("words"))
+    assert decontaminate.hit_windows(worded, items, "doc_id").count() == 20 * 3
+    assert {(r["n_hit"], r["n_items"]) for r in decontaminate.contamination(docs, items).collect()} == {(12, 300)}

@@ -59,27 +59,61 @@ def test_empty_and_repeated_ids(spark):
     assert got == [(0, 0, None, False), (5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False)]
 
 
+def true_links(m, step=1000):
+    """(a, b) of all pairs with cosine 0.98 or more among unit vectors, a < b, by brute force in blocks."""
+    out = []
+    for s in range(0, len(m), step):
+        x, y = np.nonzero(m[s : s + step] @ m.T >= 0.98)
+        out.append(np.stack([x + s, y], axis=1)[x + s < y])
+    return np.concatenate(out)
+
+
+def pass_recall(spark, df, ids, pairs):
+    """The share of linked pairs whose ends hang together by what the passes found, and n_links of each vector."""
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(df).collect()}
+    together = sum(got[ids[a]]["component_id"] == got[ids[b]]["component_id"] for a, b in pairs)
+    return together / max(1, len(pairs)), {i: r["n_links"] for i, r in got.items()}
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.06, 0.1])
+def test_recall_on_generated_clusters(spark, spread):
+    """Clusters of 2 to 60 vectors in two labels, many pairs just above and below the threshold."""
+    rng, m, labels = np.random.default_rng(int(spread * 100)), [], []
+    for centre in rng.standard_normal((120, 32)):
+        for _ in range(int(rng.integers(2, 60))):
+            m.append(centre + rng.standard_normal(32) * spread * rng.choice([0.5, 1.0, 1.4]))
+            labels.append(int(rng.integers(0, 2)))
+    m = np.array(m, np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), labels[i]) for i, v in enumerate(m)], "vec_id long, embedding array<float>, label int").repartition(8)
+    unit, labels = m / np.linalg.norm(m, axis=1)[:, None], np.array(labels)
+    pairs = np.concatenate([np.flatnonzero(labels == k)[true_links(unit[labels == k])] for k in (0, 1)])
+    recall, links = pass_recall(spark, df, range(len(m)), pairs)
+    print(spread, len(pairs), recall)
+    assert len(pairs) > 100 and recall >= 0.99
+    assert sum(links.values()) >= 0.99 * 2 * len(pairs)
+
+
+def test_ids_of_any_type(spark):
+    rows = [("b", [1.0, 0.0], 1), ("a-1", [1.0, 0.01], 1), ("c", [0.0, 1.0], 1), (None, [1.0, 0.0], 1), ("d", None, 1)]
+    got = {r["vec_id"]: tuple(r)[1:] for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id string, embedding array<float>, label int")).collect()}
+    assert got == {"b": (1, "a-1", False), "a-1": (1, "a-1", True), "c": (0, "c", True), None: (0, None, False), "d": (0, "d", True)}
+
+
 @pytest.mark.parametrize("table", ["check_s", "check_h"])
 def test_recall_on_clustered_vectors(spark, table):
-    """Links found against brute force over every row of a label, in blocks."""
+    """Links found against brute force over every row of a label, in blocks; the tables are not on every machine."""
     path = Path(f"/root/testdata/{table}/embeddings.parquet")
     if not path.exists():
         pytest.skip("the clustered tables are not here")
     df = spark.read.parquet(str(path))
-    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(df).collect()}
     rows = df.select("vec_id", "embedding", "label").toPandas()
-    total = 0
+    ids, pairs = rows["vec_id"].to_numpy(), []
     for _, g in rows.groupby("label"):
         m = np.stack(g["embedding"].to_numpy()).astype(float)
-        m /= np.linalg.norm(m, axis=1)[:, None]
-        for s in range(0, len(m), 1000):
-            n = (m[s : s + 1000] @ m.T >= 0.98).sum(axis=1) - 1
-            ids = g["vec_id"].to_numpy()[s : s + 1000]
-            total += int(n.sum())
-            assert all(got[i] <= k for i, k in zip(ids, n))
-    assert sum(got.values()) >= 0.95 * total
-    found = sum(v > 0 for v in got.values())
-    print(table, sum(got.values()), total, found)
+        pairs.append(g.index.to_numpy()[true_links(m / np.linalg.norm(m, axis=1)[:, None])])
+    recall, links = pass_recall(spark, df, ids, np.concatenate(pairs))
+    print(table, len(np.concatenate(pairs)), recall)
+    assert recall >= 0.95 and sum(links.values()) >= 0.95 * 2 * sum(map(len, pairs))
 
 
 def test_links_in_a_dense_label_are_found(spark):

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -39,11 +40,32 @@ def test_hosts_paths_rules_and_verdicts(spark):
     assert rows[0]["score"] == rows[607]["score"]
 
 
-def test_trees_learn_the_labelled_urls(spark):
+def test_trees_learn_what_they_have_not_seen(spark):
+    """Accuracy on labelled URLs that neither trained the trees nor are in the suffix statistics."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    ruled = [r for r in urls.judge(df).collect() if r["rule"]]
+    held = {r["page_id"] for r in df.where(urls._held_out(df["url"])).collect()}
+    ruled = [r for r in urls.judge(df).collect() if r["rule"] and r["page_id"] in held]
     right = sum((r["score"] >= 0.5) == (r["verdict"] == "block") for r in ruled)
-    assert len(ruled) > 100 and right >= 0.8 * len(ruled)
+    print(right, len(ruled))
+    assert len(ruled) > 20 and right >= 0.8 * len(ruled)
+
+
+def test_features_match_plain_loops(spark):
+    made = [None, "", "http://a.net/en/x-1?b=2&c=3&&d#e?f=1", "https://A-b.example.ORG//x//y/", "no scheme 12 ?a&b", "é" * 50 + "://h/p", "http://h", "ftp://h?x=1", "z" * 3000 + "1" * 3000]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(made)], "page_id int, url string")
+    df = df.withColumn("host", urls.host_of(df["url"])).withColumn("path", urls.path_of(df["url"]))
+    for r in urls._lexical(df).collect():
+        u, (host, path) = r["url"] or "", parts(r["url"])
+        shares = [u.count(c) / len(u) for c in set(u)]
+        query = u.split("#")[0].split("?", 1)[1] if "?" in u.split("#")[0] else (u.split("?", 1)[1].split("#")[0] if "?" in u else "")
+        want = {
+            "length": len(u), "host_length": len(host), "path_length": len(path), "depth": len([p for p in path.split("/")[1:] if p]),
+            "digit_ratio": sum(c in "0123456789" for c in u) / len(u) if u else 0, "entropy": -sum(p * math.log2(p) for p in shares),
+            "parameters": len([p for p in query.split("&") if p]), "labels": len([x for x in host.split(".") if x]), "hyphens": u.count("-"), "secure": u.startswith("https:"),
+        }
+        for name, value in want.items():
+            assert abs(r[name] - value) < 1e-9, (u[:60], name)
+        assert r["suffix"] == host.rsplit(".", 1)[-1]
 
 
 def test_no_rows_and_one_verdict(spark):
