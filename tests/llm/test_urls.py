@@ -42,12 +42,13 @@ def test_hosts_paths_rules_and_verdicts(spark):
 
 def test_trees_learn_what_they_have_not_seen(spark):
     """Accuracy on labelled URLs that neither trained the trees nor are in the suffix statistics."""
-    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     held = {r["page_id"] for r in df.where(urls._held_out(df["url"])).collect()}
     ruled = [r for r in urls.judge(df).collect() if r["rule"] and r["page_id"] in held]
     right = sum((r["score"] >= 0.5) == (r["verdict"] == "block") for r in ruled)
-    print(right, len(ruled))
-    assert len(ruled) > 20 and right >= 0.8 * len(ruled)
+    most = max(sum(r["verdict"] == v for r in ruled) for v in ("allow", "block"))
+    print(right, most, len(ruled))
+    assert len(ruled) > 100 and right >= 0.65 * len(ruled) and right > 1.15 * most
 
 
 def test_features_match_plain_loops(spark):
