@@ -26,3 +26,14 @@ def test_entry(spark):
 
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_the_archive_for_other_machines_is_whole(tmp_path):
+    import subprocess
+
+    import __spark_entry__ as contract
+
+    path = contract.archive(str(tmp_path))
+    code = "import lakeread.plans.queries as q; print(len(q.QUERIES), q.__file__)"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(tmp_path), env={"PYTHONPATH": path, "PATH": ""})
+    assert out.stdout.startswith(f"{len(QUERIES)} {path}"), out.stderr
