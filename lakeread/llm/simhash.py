@@ -144,15 +144,19 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     return meetings(listed, near).distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(node): a row for each end of each pair."""
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
 def _named(distinct: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, first, n_links) of distinct (node, least): the least of the component, and how many nodes each is linked to."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    grouped = materialize(connected_components(links).join(degree, "node"), "grouped")
+    """(node, first) of distinct (node, least): the least of each node's component."""
+    grouped = materialize(connected_components(links), "grouped")
     linked = distinct.join(grouped, "node").withColumn("salt", F.pmod("node", F.lit(SALTS)))
     first = linked.groupBy("component").agg(F.min("least").alias("first"))
     first = first.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    named = linked.join(first.hint("merge"), ["component", "salt"]).select("node", "first", "n_links")
-    return named.union(distinct.join(grouped, "node", "left_anti").select("node", F.col("least").alias("first"), F.lit(0).cast("long").alias("n_links")))
+    named = linked.join(first.hint("merge"), ["component", "salt"]).select("node", "first")
+    return named.union(distinct.join(grouped, "node", "left_anti").select("node", F.col("least").alias("first")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
@@ -167,12 +171,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     distinct = materialize(fps.groupBy(F.col("fp").alias("node")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")), "distinct")
     links = materialize(fingerprint_links(distinct.select(F.col("node").alias("fp")), max_bits), "links")
-    named = _named(distinct, links).withColumnRenamed("node", "fp")
+    degree = _ends(links).groupBy("node").agg(F.count("*").alias("n_links"))
+    named = _named(distinct, links).join(degree, "node", "left").withColumnRenamed("node", "fp")
     return fps.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first.id").alias("component_id"),
-        "n_links",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
@@ -274,8 +279,7 @@ def copies(
     distinct = rows.groupBy("node").agg(F.min(order).alias("least"), F.any_value("mark").alias("mark"), F.any_value("pieces").alias("pieces"))
     distinct = materialize(distinct, "distinct")
     pairs = materialize(_neighbours(distinct.select("node", "mark", "pieces"), bits, most), "candidates")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialize(distinct.join(nodes, "node").select("node", F.col("least.key").alias("key")), "wanted")
+    wanted = materialize(distinct.join(_ends(pairs).distinct(), "node").select("node", F.col("least.key").alias("key")), "wanted")
     hint = F.broadcast if wanted.count() <= IDS else lambda df: df
     texts = docs.select(text_key(text_col).alias("key"), F.col(quoted(text_col)).alias("text")).join(hint(wanted), "key")
     # Copies of one text are one row before texts are hashed: any of them holds the same words.
