@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -17,9 +17,9 @@ from .common import materialize
 ORDER = 2
 BACKOFF = 0.4
 HOLDERS = 2  # documents that must hold an n-gram of two words and more, so that it counts as seen: the scored one and another
-WORD_BITS = 40  # of a word's hash; an n-gram is its words' hashes, so that its parts need no table of their own
+WORD_BITS = 36  # of a word's hash; an n-gram is its words' hashes side by side, so that its parts need no table of their own
 PARTITION = 4_000_000  # n-grams that a task counts
-VOCABULARY = 2_000_000  # a table of more words is joined by shuffle
+VOCABULARY = 1_000_000  # a table of more words is joined by shuffle
 
 
 def _encoded(docs: DataFrame) -> DataFrame:
@@ -39,13 +39,37 @@ class _Hashes(dict):
         return found
 
 
-def _names(n: int) -> list[str]:
-    return [f"w{i}" for i in range(1, n + 1)]
+def _pieces(n: int) -> list[str]:
+    """The columns of an n-gram: the hashes of its words, the first one lowest, in as few numbers of 64 bits as hold them."""
+    return [f"g{j}" for j in range(-(-n * WORD_BITS // 64))]
+
+
+def _spans(n: int) -> list[tuple[int, int, int]]:
+    """(piece, word, shift) of each word's part in each piece, to the left if shift is positive."""
+    return [(j, i, i * WORD_BITS - 64 * j) for j in range(len(_pieces(n))) for i in range(n) if -WORD_BITS < i * WORD_BITS - 64 * j < 64]
+
+
+def _packed(words: list[Column]) -> list[Column]:
+    n, out = len(words), {}
+    for j, i, shift in _spans(n):
+        part = F.shiftleft(words[i], shift) if shift >= 0 else F.shiftrightunsigned(words[i], -shift)
+        out[j] = out[j].bitwiseOR(part) if j in out else part
+    return [out[j] for j in range(len(_pieces(n)))]
+
+
+def _unpacked(n: int) -> list[Column]:
+    """The words' hashes of the n-grams in the columns _pieces(n)."""
+    out: dict[int, Column] = {}
+    for j, i, shift in _spans(n):
+        piece = F.col(f"g{j}")
+        part = F.shiftrightunsigned(piece, shift) if shift >= 0 else F.shiftleft(piece, -shift)
+        out[i] = out[i].bitwiseOR(part) if i in out else part
+    return [out[i].bitwiseAND(F.lit((1 << WORD_BITS) - 1)) for i in range(n)]
 
 
 def _exploded(docs: DataFrame, n: int, starts: bool = False) -> DataFrame:
-    """(w1, ..., wn, key, k): the different n-grams of each document and how often each occurs; or only the one it starts with."""
-    names = _names(n)
+    """(*_pieces(n), key, k): the different n-grams of each document and how often each occurs; or only the one it starts with."""
+    names = _pieces(n)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -54,18 +78,17 @@ def _exploded(docs: DataFrame, n: int, starts: bool = False) -> DataFrame:
             size = 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 split = (text.as_py() or b"").lower().split()
-                words = np.fromiter(map(hashes.__getitem__, split[:n] if starts else split), dtype=np.int64)
+                words = np.fromiter(map(hashes.__getitem__, split[:n] if starts else split), dtype=np.uint64)
                 if len(words) < n:
                     continue
-                grams = np.stack([words[i : len(words) - n + 1 + i] for i in range(n)])
-                if n == 1:
-                    found, counts = np.unique(grams[0], return_counts=True)
-                    found = found[None]
-                else:
-                    order = np.lexsort(grams)
-                    grams = grams[:, order]
-                    new = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0))))
-                    found, counts = grams[:, new], np.diff(np.append(new, grams.shape[1]))
+                grams = np.zeros((len(names), len(words) - n + 1), np.uint64)
+                for j, i, shift in _spans(n):
+                    word = words[i : len(words) - n + 1 + i]
+                    grams[j] |= word << np.uint64(shift) if shift >= 0 else word >> np.uint64(-shift)
+                order = np.lexsort(grams)
+                grams = grams[:, order]
+                new = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0))))
+                found, counts = grams[:, new].view(np.int64), np.diff(np.append(new, grams.shape[1]))
                 out.append((found, np.full(len(counts), key, np.int64), counts.astype(np.int32)))
                 size += len(counts)
                 if size > 200_000:
@@ -85,17 +108,17 @@ def _batch(out: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*map(pa.array, grams), pa.array(keys), pa.array(counts)], [*names, "key", "k"])
 
 
-def _values(grams: DataFrame, lower: DataFrame, n: int, backoff: float, hint) -> DataFrame:
-    """(w1, ..., wn, n, value) of n-grams with n and holders: the logarithm of what an occurrence scores.
+def _values(grams: DataFrame, lower: DataFrame, n: int, backoff: float, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(*_pieces(n), n, value) of n-grams with n and holders: the logarithm of what an occurrence scores.
 
     lower: the same of (n-1)-grams. A seen n-gram scores its count over that of its first n - 1 words, one that no other
     document holds the score of its last n - 1 words times backoff.
     """
-    names, shorter = _names(n), _names(n - 1)
+    names, shorter, words = _pieces(n), _pieces(n - 1), _unpacked(n)
     first = hint(lower.select(*(F.col(c).alias(f"a{c}") for c in shorter), F.col("n").alias("before")))
     last = hint(lower.select(*(F.col(c).alias(f"b{c}") for c in shorter), F.col("value").alias("less")))
-    rows = grams.join(first, [F.col(w) == F.col(f"a{w}") for w in shorter])
-    rows = rows.join(last, [F.col(w) == F.col(f"b{s}") for w, s in zip(names[1:], shorter)])
+    rows = grams.join(first, [x == F.col(f"a{c}") for x, c in zip(_packed(words[:-1]), shorter)])
+    rows = rows.join(last, [x == F.col(f"b{c}") for x, c in zip(_packed(words[1:]), shorter)])
     seen = F.log(F.col("n") / F.col("before"))
     value = F.when(F.col("holders") >= HOLDERS, seen).otherwise(F.lit(float(np.log(backoff))) + F.col("less"))
     return rows.select(*names, "n", value.alias("value"))
@@ -110,7 +133,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, partit
     all words. An n-gram is seen if another document holds it too: by its own n-grams alone each text would be perfectly
     likely, and never back off. log_score is the sum of natural logarithms, mean_log_score the sum by word, null for texts
     without words (null, empty, blank), whose log_score is 0. Repeated rows are documents like others and are scored each;
-    ids may be null and of any type. An empty table gives no rows. Words are told apart by 40 bits of their hashes. Other
+    ids may be null and of any type. An empty table gives no rows. Words are told apart by 36 bits of their hashes. Other
     columns are not read.
 
     What an n-gram scores does not depend on the document. So documents are exploded to rows of their different n-grams,
@@ -118,14 +141,14 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, partit
     document's n-gram, however often it occurs there, so no n-gram has more rows than there are documents. Shorter
     n-grams' tables are joined to the table of n-grams, not to the rows.
     """
-    words = materialize(_exploded(docs, 1).groupBy("w1").agg(F.sum("k").alias("n")), "words")
+    words = materialize(_exploded(docs, 1).groupBy(*_pieces(1)).agg(F.sum("k").alias("n")), "words")
     size, tokens = words.agg(F.count("*"), F.sum("n")).first()
     known = words.withColumn("value", F.log(F.col("n") / F.lit(float(tokens or 1))))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(tokens or 0) // partition)
     hint = F.broadcast if size <= vocabulary else lambda df: df
     found = []
     for n in range(1, order + 1):
-        names = _names(n)
+        names = _pieces(n)
         rows = _exploded(docs, n, starts=n < order)
         if n == 1:
             found.append((rows if order > 1 else _exploded(docs, 1)).join(hint(known), names))
@@ -138,7 +161,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, partit
             known, hint = materialize(known, "grams"), lambda df: df
             found.append(rows.join(known, names))
         else:
-            found.append(dealt.join(known.hint("merge"), names))  # Spark judges rows by the texts that they are exploded from
+            found.append(dealt.join(known.hint("shuffle_hash"), names))  # Spark judges rows by the texts that they are exploded from
     parts_of = [f.select("key", "k", (F.col("k") * F.col("value")).alias("score")) for f in found]
     sums = reduce(DataFrame.union, parts_of).groupBy("key").agg(F.sum("score").alias("score"), F.sum("k").alias("tokens"))
     rows = docs.select("doc_id", _key("doc_id", "text"))

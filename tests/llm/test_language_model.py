@@ -44,7 +44,7 @@ def test_rows_are_dealt_once(spark, tmp_path):
         plan = lm.scores(df)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "ReusedExchange [w1" in plan
+    assert "ReusedExchange [g0" in plan
 
 
 def test_a_query_scores_all_trigrams(spark, tmp_path):
