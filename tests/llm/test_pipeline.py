@@ -116,6 +116,6 @@ def test_stages_take_empty_and_odd_documents(spark, tmp_path):
             n = out.count()
             assert n <= len(some)
             assert name == "mixing" or out.columns == docs.columns
-            if some and name != "quality":  # no row of these is a near copy of another but for those without words
+            if some and name in ("simhash_near_dedup", "benchmark_decontamination"):  # only rows without words are near copies here
                 assert n >= len(some) - 2
         assert (n > 0) == bool(some)
