@@ -172,7 +172,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = materialize(fps.groupBy(F.col("fp").alias("node")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")), "distinct")
     links = materialize(fingerprint_links(distinct.select(F.col("node").alias("fp")), max_bits), "links")
     degree = _ends(links).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = _named(distinct, links).join(degree, "node", "left").withColumnRenamed("node", "fp")
+    # Written down, so that the rows are joined to a table as it is: Spark can split what many copies have in common.
+    named = materialize(_named(distinct, links).join(degree, "node", "left").withColumnRenamed("node", "fp"), "named")
     return fps.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -288,7 +289,8 @@ def copies(
     near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     links = materialize(near.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"), "links")
-    return rows.select("id", "key", "node").join(_named(distinct.select("node", "least"), links), "node").select("id", "key", "first")
+    named = materialize(_named(distinct.select("node", "least"), links), "named")
+    return rows.select("id", "key", "node").join(named, "node").select("id", "key", "first")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY) -> DataFrame:
