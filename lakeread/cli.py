@@ -1,4 +1,7 @@
-"""Ten actions on a catalog from the command line: python -m lakeread.cli --action A --arg TEXT_OR_FILE."""
+"""Ten actions on a catalog from the command line: python -m lakeread.cli --action A --arg TEXT_OR_FILE.
+
+Their messages are fixed values, which scripts may read.
+"""
 
 from __future__ import annotations
 
