@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 from math import acos, ceil, comb, log2, pi, sqrt
 
@@ -244,11 +245,14 @@ def _neighbours(listed: DataFrame, bits: int, most: int) -> DataFrame:
     entries = F.transform("pieces", lambda x, i: F.struct(i.alias("place"), x.alias("piece"), (F.shiftleft(after(i, 1), min(bits, 31)) + after(i, 2)).alias("after")))
     lists = listed.select("node", "mark", F.explode(entries).alias("entry")).select("node", "mark", "entry.*")
     order = Window.partitionBy("place", "piece", "block").orderBy("after", "node")
-    ahead = F.array(*(F.lead(F.struct("node", "mark"), k).over(order) for k in range(1, COPY_NEIGHBOURS + 1)))
-    following = _cut(lists, _long_lists(lists.select("place", "piece"))).select("node", "mark", ahead.alias("ahead"))
-    following = following.select("node", "mark", F.explode(F.filter("ahead", lambda x: F.bit_count(F.col("mark").bitwiseXOR(x["mark"])) <= most)).alias("next"))
-    near = following.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("next.mark"))) <= most)
-    near = near.select(F.least("node", "next.node").alias("a"), F.greatest("node", "next.node").alias("b")).distinct()
+    cut = _cut(lists, _long_lists(lists.select("place", "piece")))
+
+    def following(k: int) -> DataFrame:
+        pairs = cut.select("node", "mark", F.lead(F.struct("node", "mark"), k).over(order).alias("next"))
+        pairs = pairs.where(F.bit_count(F.col("mark").bitwiseXOR(F.col("next.mark"))) <= most)
+        return pairs.select(F.least("node", "next.node").alias("a"), F.greatest("node", "next.node").alias("b"))
+
+    near = reduce(DataFrame.union, map(following, range(1, COPY_NEIGHBOURS + 1))).distinct()
     near = near.join(listed.select(F.col("node").alias("a"), F.col("pieces").alias("x")), "a")
     near = near.join(listed.select(F.col("node").alias("b"), F.col("pieces").alias("y")), "b")
     shared = F.aggregate(F.zip_with("x", "y", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
